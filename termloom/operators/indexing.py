@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.text import normalize_tokens, snippet
-from termloom.session import hold
+from termloom.session import hold, spread
 from termloom.sources.corpus import assign_doc_ids, document_key
 
 DOCUMENT_COLUMNS = [
@@ -116,7 +116,7 @@ def term_rows(postings: DataFrame) -> DataFrame:
 
 def build_index(docs: DataFrame) -> SearchIndex:
     """Index ``docs`` (filename, text, optionally doc_id and filepath) without storing it."""
-    parsed = parse_documents(assign_doc_ids(docs))
+    parsed = parse_documents(spread(assign_doc_ids(docs)))
     postings = posting_rows(parsed)
     return SearchIndex(document_rows(parsed), term_rows(postings), postings)
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import BLANK_CHARS, normalize_tokens
+from termloom.session import hold
 
 # The function names and operator words, compared in lower case.
 PHRASE_WORD = "cadena"
@@ -97,11 +98,14 @@ def parse_query_log(queries: DataFrame, operator_split: str = "word") -> DataFra
         .when(is_call, "pattern")
         .otherwise("term")
     )
-    typed = operands.withColumn("kind", kind)
+    typed = operands.withColumn("kind", kind).withColumn(
+        "raw", F.when(F.col("kind") == "term", part).otherwise(_call_value(part))
+    )
+    typed = hold(typed, "tokens", normalize_tokens(F.col("raw")))
     value = (
-        F.when(F.col("kind") == "pattern", _call_value(part))
-        .when(F.col("kind") == "phrase", F.array_join(normalize_tokens(_call_value(part)), " "))
-        .otherwise(F.get(normalize_tokens(part), 0))
+        F.when(F.col("kind") == "pattern", F.col("raw"))
+        .when(F.col("kind") == "phrase", F.array_join("tokens", " "))
+        .otherwise(F.get("tokens", 0))
     )
     return typed.select(
         "query_id",

@@ -67,6 +67,15 @@ def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a source that has fewer partitions than the cluster has cores.
+
+    Meant for small inputs in few unsplittable files; a large source is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def hold(df: DataFrame, name: str, value: Column, keep: list[str] | None = None) -> DataFrame:
     """Add column ``name``, computed once per row however often later columns use it.
 

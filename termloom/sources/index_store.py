@@ -29,7 +29,7 @@ from termloom.operators.indexing import (
     posting_rows,
     term_rows,
 )
-from termloom.session import settle
+from termloom.session import scratch_path, settle, spread
 from termloom.sources.corpus import assign_doc_ids
 
 # One posting partition per this many tokens, within the given limit.
@@ -52,7 +52,7 @@ def index_corpus(docs: DataFrame, root: str) -> SearchIndex:
     The parsed documents are written once, so each text is tokenised once although both the
     documents and the postings come from it.
     """
-    parsed = settle(parse_documents(assign_doc_ids(docs)), "parsed")
+    parsed = settle(parse_documents(spread(assign_doc_ids(docs))), "parsed")
     postings = posting_rows(parsed)
     return save_index(SearchIndex(document_rows(parsed), None, postings), root)
 
@@ -131,3 +131,24 @@ def _open(spark: SparkSession, root: str, name: str, buckets: int) -> SearchInde
         spark.read.schema(POSTING_SCHEMA).parquet(f"{path}/postings"),
         buckets,
     )
+
+
+def source_fingerprint(spark: SparkSession, path: str) -> str:
+    """Digest of the files under ``path`` by name, size and time; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    digest = F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))
+    return str(files.agg(digest).first()[0])
+
+
+_opened: dict[tuple[str, str, str], SearchIndex] = {}
+
+
+def index_once(spark: SparkSession, path: str, docs: DataFrame) -> SearchIndex:
+    """Index the documents stored at ``path`` once per application and reuse the result.
+
+    The index lives in the shared folder and is built anew when the files change.
+    """
+    key = (spark.sparkContext.applicationId, path, source_fingerprint(spark, path))
+    if key not in _opened:
+        _opened[key] = index_corpus(docs, scratch_path(spark, "index"))
+    return _opened[key]

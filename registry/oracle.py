@@ -203,16 +203,16 @@ def _log_leaves(log: str, split_words: bool = False) -> str:
         FROM roles),
     leaves AS (
         SELECT query_id,
-               (len(list_filter(role[1:at], lambda r: r = 'o'))
-                + len(list_filter(range(2, at + 1),
-                                  lambda i: role[i] = 'x' AND role[i - 1] = 'x')))::INTEGER
+               (len(list_filter(role[1:place], lambda r: r = 'o'))
+                + len(list_filter(range(2, place + 1),
+                                  lambda i: (role[i] = 'x' AND role[i - 1] = 'x'))))::INTEGER
                    AS disjunct_id,
-               len(list_filter(role[1:at], lambda r: r = 'x'))::INTEGER AS leaf_id,
+               len(list_filter(role[1:place], lambda r: r = 'x'))::INTEGER AS leaf_id,
                'term' AS kind, {_tokens('part')}[1] AS value,
-               at > 1 AND role[at - 1] = 'n' AS negated
-        FROM (SELECT *, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS at
+               place > 1 AND role[place - 1] = 'n' AS negated
+        FROM (SELECT *, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS place
               FROM shaped WHERE NOT malformed)
-        WHERE role[at] = 'x')"""
+        WHERE role[place] = 'x')"""
 
 
 _CONVERSATIONS = "SELECT conv_id * 1000 + turn AS query_id, text AS q FROM conversations"

@@ -7,6 +7,8 @@ are looked up once.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def leaf_values(leaves: DataFrame, kind: str) -> DataFrame:
     return leaves.filter(wanted).select("value").distinct()
 
 
-def _spread(leaves: DataFrame, kind: str, found: DataFrame, rows: int) -> DataFrame:
+def _of_leaves(leaves: DataFrame, kind: str, found: DataFrame, rows: int) -> DataFrame:
     """Turn (value, doc_id) into hits of every leaf of that kind and value."""
     wanted = leaves.filter(F.col("kind") == kind).select("query_id", "leaf_id", "value")
     return found.join(broadcast_if(wanted, rows), "value").select(*HIT_COLUMNS)
@@ -34,12 +36,15 @@ def _spread(leaves: DataFrame, kind: str, found: DataFrame, rows: int) -> DataFr
 # Terms ---------------------------------------------------------------------------------
 
 
-def match_terms(index: SearchIndex, leaves: DataFrame) -> DataFrame:
-    """Hits of the term leaves: documents that contain exactly that term."""
+def match_terms(index: SearchIndex, leaves: DataFrame, rows: int | None = None) -> DataFrame:
+    """Hits of the term leaves: documents that contain exactly that term.
+
+    ``rows``, here and below, is the number of leaves if the caller knows it.
+    """
+    rows = leaf_count(leaves) if rows is None else rows
     wanted = leaves.filter((F.col("kind") == "term") & F.col("value").isNotNull())
     wanted = wanted.select("query_id", "leaf_id", F.col("value").alias("term"))
-    wanted = broadcast_if(wanted, leaf_count(wanted))
-    return probe_postings(index, wanted, ["doc_id"]).select(*HIT_COLUMNS)
+    return probe_postings(index, broadcast_if(wanted, rows), ["doc_id"]).select(*HIT_COLUMNS)
 
 
 def term_documents(index: SearchIndex, term: str) -> DataFrame:
@@ -48,8 +53,8 @@ def term_documents(index: SearchIndex, term: str) -> DataFrame:
 
 
 def leaf_count(leaves: DataFrame) -> int:
-    """Number of rows, counted no further than the broadcast limit."""
-    return leaves.limit(BROADCAST_ROWS + 1).count()
+    """Number of rows, to decide about a broadcast."""
+    return leaves.count()
 
 
 # Patterns ------------------------------------------------------------------------------
@@ -73,17 +78,15 @@ def pattern_gram(pattern: Column) -> Column:
     return F.substring(F.array_max(runs)["run"], 1, GRAM_LENGTH)
 
 
-def term_grams(term: Column) -> Column:
-    """All substrings of one to three letters, each once, and the empty one."""
-    def cut(length: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(term) - (length - 1))
-        grams = F.transform(starts, lambda at: F.substring(term, at, F.lit(length)))
-        return F.when(F.length(term) >= length, grams).otherwise(
-            F.array().cast("array<string>")
-        )
-
-    parts = [cut(length) for length in range(1, GRAM_LENGTH + 1)]
-    return F.array_distinct(F.concat(F.array(F.lit("")), *parts))
+def term_grams(terms: DataFrame, length: int) -> DataFrame:
+    """The distinct substrings of ``length`` letters of each term: ``(term, gram)``."""
+    if length == 0:
+        return terms.select("term", F.lit("").alias("gram"))
+    starts = F.sequence(F.lit(1), F.length("term") - (length - 1))
+    cut = terms.filter(F.length("term") >= length).select("term", F.explode(starts).alias("at"))
+    grams = cut.select("term", "at", F.substring("term", F.col("at"), F.lit(length)).alias("gram"))
+    # Only the first occurrence within the term.
+    return grams.filter(F.expr("locate(gram, term)") == F.col("at")).select("term", "gram")
 
 
 def expand_patterns(index: SearchIndex, patterns: DataFrame) -> DataFrame:
@@ -96,8 +99,13 @@ def expand_patterns(index: SearchIndex, patterns: DataFrame) -> DataFrame:
     wanted = patterns.select("value", clean_pattern(F.col("value")).alias("pattern"))
     wanted = wanted.filter(F.col("pattern").isNotNull())
     wanted = wanted.withColumn("gram", pattern_gram(F.col("pattern")))
-    wanted = broadcast_if(wanted, leaf_count(wanted))
-    terms = index.terms.select("term", F.explode(term_grams(F.col("term"))).alias("gram"))
+    facts = wanted.agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set(F.length("gram")).alias("lengths")
+    ).first()
+    wanted = broadcast_if(wanted, facts["n"])
+    # At most four gram lengths occur; only those are cut from the dictionary.
+    grams = [term_grams(index.terms, length) for length in sorted(facts["lengths"]) or [0]]
+    terms = reduce(DataFrame.unionByName, grams)
     literal = ~F.col("pattern").rlike("[%_]")
     fits = F.when(literal, F.contains("term", "pattern")).otherwise(
         F.expr("term LIKE concat('%', pattern, '%')")
@@ -105,7 +113,7 @@ def expand_patterns(index: SearchIndex, patterns: DataFrame) -> DataFrame:
     return terms.join(wanted, "gram").filter(fits).select("value", "term")
 
 
-def match_patterns(index: SearchIndex, leaves: DataFrame) -> DataFrame:
+def match_patterns(index: SearchIndex, leaves: DataFrame, rows: int | None = None) -> DataFrame:
     """Hits of the pattern leaves: documents with any term that contains the pattern.
 
     Patterns made of ``%`` alone, and the empty one, hold for every indexed document and are
@@ -118,9 +126,11 @@ def match_patterns(index: SearchIndex, leaves: DataFrame) -> DataFrame:
     found = probe_postings(index, expanded, ["doc_id"]).select("value", "doc_id").distinct()
 
     patterns = leaves.filter(F.col("kind") == "pattern")
-    hits = _spread(leaves, "pattern", found, leaf_count(patterns))
+    rows = leaf_count(patterns) if rows is None else rows
+    hits = _of_leaves(leaves, "pattern", found, rows)
     everywhere = patterns.filter(open_ended).select("query_id", "leaf_id")
-    return hits.unionByName(pair_with_documents(index, everywhere).select(*HIT_COLUMNS))
+    paired = pair_with_documents(index, everywhere, rows)
+    return hits.unionByName(paired.select(*HIT_COLUMNS))
 
 
 # Phrases -------------------------------------------------------------------------------
@@ -136,7 +146,10 @@ def phrase_tokens(phrases: DataFrame) -> DataFrame:
 
 
 def match_phrases(
-    index: SearchIndex, leaves: DataFrame, skip_repeated: bool = False
+    index: SearchIndex,
+    leaves: DataFrame,
+    rows: int | None = None,
+    skip_repeated: bool = False,
 ) -> DataFrame:
     """Hits of the phrase leaves: documents with the phrase's tokens in a row.
 
@@ -149,11 +162,11 @@ def match_phrases(
     if skip_repeated:
         tokens = F.split("value", " ")
         phrases = phrases.filter(F.size(F.array_distinct(tokens)) == F.size(tokens))
-    wanted = settle(phrase_tokens(phrases), "phrases")
-    rows = leaf_count(wanted)
+    wanted = phrase_tokens(phrases)
+    n_tokens = leaf_count(wanted)
 
-    entries = probe_postings(index, broadcast_if(wanted, rows), ["doc_id", "positions"])
-    candidates = _phrase_candidates(index, wanted, rows)
+    entries = probe_postings(index, broadcast_if(wanted, n_tokens), ["doc_id", "positions"])
+    candidates = _phrase_candidates(index, wanted, n_tokens)
     if candidates is not None:
         entries = entries.join(candidates, ["value", "doc_id"], "left_semi")
 
@@ -168,8 +181,8 @@ def match_phrases(
         lambda common, entry: F.array_intersect(common, _starts(entry)),
     )
     found = complete.filter(F.size(starts) > 0).select("value", "doc_id")
-    phrase_leaves = leaves.filter(F.col("kind") == "phrase")
-    return _spread(leaves, "phrase", found, leaf_count(phrase_leaves))
+    rows = leaf_count(leaves) if rows is None else rows
+    return _of_leaves(leaves, "phrase", found, rows)
 
 
 def _starts(entry: Column) -> Column:
@@ -204,27 +217,28 @@ def _phrase_candidates(index: SearchIndex, wanted: DataFrame, rows: int) -> Data
 SLICES = 64
 
 
-def pair_with_documents(index: SearchIndex, rows: DataFrame) -> DataFrame:
-    """Every document for each of ``rows``, the answer of a leaf that holds everywhere.
+def pair_with_documents(index: SearchIndex, rows: DataFrame, n_rows: int) -> DataFrame:
+    """Every document for each of the up to ``n_rows`` rows, whose answer is everything.
 
     The documents are sliced by a hash of their id and each row is repeated per slice, so the
     unavoidable output comes from many tasks.
     """
     slices = F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)))
     repeated = rows.withColumn("slice", slices)
-    repeated = broadcast_if(repeated, leaf_count(repeated))
+    repeated = broadcast_if(repeated, n_rows * SLICES)
     slice_of = F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int")
     documents = index.documents.select("doc_id", slice_of.alias("slice"))
     return documents.join(repeated, "slice").drop("slice")
 
 
 def match_leaves(
-    index: SearchIndex, leaves: DataFrame, kinds: set[str] | None = None
+    index: SearchIndex,
+    leaves: DataFrame,
+    rows: int | None = None,
+    kinds: set[str] | None = None,
 ) -> DataFrame:
-    """Hits of all leaves, as if none were negated."""
+    """Hits of all leaves, as if none were negated.  ``kinds`` names those that occur."""
+    rows = leaf_count(leaves) if rows is None else rows
     matchers = {"term": match_terms, "pattern": match_patterns, "phrase": match_phrases}
     chosen = [match for kind, match in matchers.items() if kinds is None or kind in kinds]
-    hits = chosen[0](index, leaves)
-    for match in chosen[1:]:
-        hits = hits.unionByName(match(index, leaves))
-    return hits
+    return reduce(DataFrame.unionByName, [match(index, leaves, rows) for match in chosen])

@@ -18,6 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from registry.oracle import oracle_sql  # noqa: F401  (part of the driver contract)
 from registry.sample_log import BOOLEAN_QUERIES, SAMPLE_LOG
 from termloom.functions.text import (
+    drop_stopwords,
     encode_positions,
     normalize_tokens,
     snippet,
@@ -41,7 +42,7 @@ from termloom.plans.search import (
     score_matches,
     search,
 )
-from termloom.session import settle
+from termloom.session import hold, settle, spread
 from termloom.sources.corpus import table_documents
 from termloom.sources.index_store import index_once
 
@@ -52,6 +53,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_documents(_table(spark, sf_dir, "documents"))
 
@@ -114,14 +119,15 @@ def _rounded(results: DataFrame) -> DataFrame:
 
 def q_normalize_tokens(spark, sf_dir):
     tokens = F.array_join(normalize_tokens(F.col("text")), " ")
-    return _table(spark, sf_dir, "documents").select("doc_id", tokens.alias("tokens"))
+    return _texts(spark, sf_dir).select("doc_id", tokens.alias("tokens"))
 
 
 def q_stopword_filtered_counts(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select(
+    words = hold(_texts(spark, sf_dir), "words", split_words(F.col("text")), ["doc_id"])
+    return words.select(
         "doc_id",
-        F.size(split_words(F.col("text"))).alias("n_words"),
-        token_count(normalize_tokens(F.col("text"))).alias("n_tokens"),
+        F.size("words").alias("n_words"),
+        token_count(drop_stopwords(F.col("words"))).alias("n_tokens"),
     )
 
 

@@ -33,20 +33,14 @@ _ONE_TO_MANY = {char: base for char, base in _FOLDING.items() if len(base) > 1}
 def fold_text(text: Column) -> Column:
     """Lower-case ``text`` and spell accented Latin letters in ASCII.
 
-    Pure ASCII rows, recognised by their byte length, skip the character lookups, and the
-    one-to-many replacements run only on rows that hold such a character.
+    Pure ASCII rows, recognised by their byte length, skip the character lookups.
     """
     lowered = F.lower(text)
-    folded = F.translate(lowered, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
-    spelled = folded
+    spelled = lowered
     for char, base in _ONE_TO_MANY.items():
         spelled = F.replace(spelled, F.lit(char), F.lit(base))
-    has_many = folded.rlike("[" + "".join(_ONE_TO_MANY) + "]")
-    return (
-        F.when(F.octet_length(text) == F.char_length(text), lowered)
-        .when(has_many, spelled)
-        .otherwise(folded)
-    )
+    folded = F.translate(spelled, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
+    return F.when(F.octet_length(text) == F.char_length(text), lowered).otherwise(folded)
 
 
 def keep_letters(text: Column) -> Column:
@@ -60,10 +54,14 @@ def split_words(text: Column) -> Column:
     return F.filter(words, lambda word: word != "")
 
 
+def drop_stopwords(words: Column) -> Column:
+    return F.filter(words, lambda word: ~word.isin(*STOPWORDS))
+
+
 def normalize_tokens(text: Column) -> Column:
     """Tokens of ``text`` in order: the words without stopwords, repeats kept."""
     words = F.split(keep_letters(text), f"[{BLANK_CHARS}]+")
-    return F.filter(words, lambda word: (word != "") & ~word.isin(*STOPWORDS))
+    return F.filter(words, lambda word: ~word.isin("", *STOPWORDS))
 
 
 def token_count(tokens: Column) -> Column:

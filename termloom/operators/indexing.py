@@ -54,18 +54,20 @@ def parse_documents(docs: DataFrame) -> DataFrame:
 
     docs = hold(docs, "tokens", normalize_tokens(F.col("text")), kept)
     docs = docs.filter(F.size("tokens") > 0)
-    pairs = F.transform("tokens", lambda term, pos: F.struct(term.alias("term"), pos.alias("pos")))
+    positions = F.sequence(F.lit(0), F.size("tokens") - 1)
+    pairs = F.arrays_zip(F.col("tokens").alias("term"), positions.alias("pos"))
     docs = hold(docs, "pairs", F.sort_array(pairs), kept)
-    docs = hold(docs, "starts", _run_starts("pairs"), [*kept, "pairs"])
+    # Two parallel arrays: the tokens in alphabetical order and their positions.
+    ordered = F.struct(F.col("pairs.term").alias("terms"), F.col("pairs.pos").alias("places"))
+    docs = hold(docs, "ordered", ordered, kept)
+    docs = hold(docs, "starts", _run_starts(), [*kept, "ordered"])
 
     entries = F.transform(
         "starts",
         lambda start, run: F.struct(
-            F.get("pairs", start)["term"].alias("term"),
+            F.get("ordered.terms", start).alias("term"),
             _run_length(start, run).alias("tf"),
-            F.transform(
-                F.slice("pairs", start + 1, _run_length(start, run)), lambda pair: pair["pos"]
-            ).alias("positions"),
+            F.slice("ordered.places", start + 1, _run_length(start, run)).alias("positions"),
         ),
     )
     squares = F.aggregate(
@@ -73,7 +75,7 @@ def parse_documents(docs: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint"),
         lambda total, tf: total + tf.cast("bigint") * tf,
     )
-    total = F.size("pairs")
+    total = F.size("ordered.terms")
     return docs.select(
         *kept,
         total.alias("total_terms"),
@@ -82,15 +84,17 @@ def parse_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def _run_starts(pairs: str) -> Column:
+def _run_starts() -> Column:
+    terms = F.col("ordered.terms")
+
     def starts_run(i: Column) -> Column:
-        return (i == 0) | (F.get(pairs, i)["term"] != F.get(pairs, i - 1)["term"])
+        return (i == 0) | (F.get(terms, i) != F.get(terms, i - 1))
 
-    return F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), starts_run)
+    return F.filter(F.sequence(F.lit(0), F.size(terms) - 1), starts_run)
 
 
 def _run_length(start: Column, run: Column) -> Column:
-    return F.coalesce(F.get("starts", run + 1), F.size("pairs")) - start
+    return F.coalesce(F.get("starts", run + 1), F.size("ordered.terms")) - start
 
 
 def document_rows(parsed: DataFrame) -> DataFrame:

@@ -1,0 +1,63 @@
+from pyspark.sql import functions as F
+
+from termloom.functions.folding import folding_table
+from termloom.functions.text import (
+    decode_positions,
+    encode_positions,
+    fold_text,
+    normalize_tokens,
+    snippet,
+    split_words,
+)
+
+CASES = {
+    "El Queso DE cabra": ["queso", "cabra"],
+    "queso-cabra a1b d'or": ["quesocabra", "ab", "dor"],
+    "Straße Æsir œuvre Þor ĲSSEL ŉ Łódź": ["strasse", "aesir", "oeuvre", "thor", "ijssel", "n", "lodz"],
+    "ÁÉÍÓÚ ñandú Çà ẞ": ["aeiou", "nandu", "ca", "ss"],
+    "café İstanbul ﬁn": ["cafe", "istanbul", "fin"],
+    "uno dos½tres": ["uno", "dos", "tres"],
+    "tab\tline\nfeed\x0bvertical\x0cform\rreturn": ["tab", "line", "feed", "vertical", "form", "return"],
+    "más MÁS mas Sí": [],
+    "Москва 東京 ok": ["ok"],
+    "12345 ... !": [],
+    "": [],
+    "vino vino vino": ["vino", "vino", "vino"],
+}
+
+
+def test_tokens(spark):
+    df = spark.createDataFrame([(text,) for text in CASES], "text string")
+    rows = df.select("text", normalize_tokens(F.col("text")).alias("tokens")).collect()
+    assert {r["text"]: r["tokens"] for r in rows} == CASES
+
+
+def test_words_keep_stopwords(spark):
+    row = spark.sql("SELECT 'La casa de él' AS t").select(split_words(F.col("t")).alias("w")).first()
+    assert row["w"] == ["la", "casa", "de", "el"]
+
+
+def test_folding_table_is_ascii_letters_and_blanks():
+    table = folding_table()
+    assert all(len(char) == 1 and ord(char) > 127 for char in table)
+    assert all(base == " " or (base.isascii() and base.isalpha() and base.islower())
+               for base in table.values())
+
+
+def test_every_table_entry_is_applied(spark):
+    table = folding_table()
+    df = spark.createDataFrame([(c, b) for c, b in table.items()], "c string, b string")
+    assert df.filter(fold_text(F.col("c")) != F.col("b")).count() == 0
+
+
+def test_snippet_counts_characters(spark):
+    text = "ñ" * 300
+    row = spark.createDataFrame([(text,)], "t string").select(snippet(F.col("t")).alias("s")).first()
+    assert row["s"] == "ñ" * 250
+
+
+def test_position_lists_round_trip(spark):
+    df = spark.sql("SELECT array(0, 4, 17) AS p")
+    encoded = df.select(encode_positions(F.col("p")).alias("e"))
+    assert encoded.first()["e"] == "0,4,17"
+    assert encoded.select(decode_positions(F.col("e")).alias("p")).first()["p"] == [0, 4, 17]

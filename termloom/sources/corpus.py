@@ -34,12 +34,8 @@ def read_text_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Files that vanish or cannot be read are skipped.  Columns: filename, filepath,
     modified_at, text.
     """
-    reader = (
-        spark.read.option("wholetext", True)
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
-    )
-    return _file_columns(reader.text(path))
+    reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    return _file_columns(reader.text(path, wholetext=True))
 
 
 def stream_text_files(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:

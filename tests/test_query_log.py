@@ -11,9 +11,9 @@ from termloom import parse_query_log, ranked_search, scoring_terms
 LOG = {
     "Queso AND cabra": [(0, 1, "term", "queso", False), (0, 2, "term", "cabra", False)],
     "a NOT b": [],
-    "x OR y z": [(0, 1, "term", "x", False), (1, 2, "term", "y", False), (2, 3, "term", "z", False)],
-    "x OR OR y": [(0, 1, "term", "x", False), (2, 2, "term", "y", False)],
-    "NOT x AND y": [(0, 1, "term", "x", True), (0, 2, "term", "y", False)],
+    "x OR w z": [(0, 1, "term", "x", False), (1, 2, "term", "w", False), (2, 3, "term", "z", False)],
+    "x OR OR w": [(0, 1, "term", "x", False), (2, 2, "term", "w", False)],
+    "NOT x AND w": [(0, 1, "term", "x", True), (0, 2, "term", "w", False)],
     "casa de 12": [(0, 1, "term", "casa", False), (1, 2, "term", None, False), (2, 3, "term", None, False)],
     "CADENA('El Queso de Cabra') AND NOT Patron( \"Á%b_c\" )":
         [(0, 1, "phrase", "queso cabra", False), (0, 2, "pattern", "á%b_c", True)],

@@ -32,7 +32,15 @@ from termloom.operators.indexing import (
     document_ids,
 )
 from termloom.operators.maintenance import ingest_report, upsert
-from termloom.operators.matching import match_leaves, match_patterns, match_phrases, match_terms
+from termloom.operators.matching import (
+    expand_patterns,
+    leaf_values,
+    match_leaves,
+    match_patterns,
+    match_phrases,
+    match_terms,
+    term_documents,
+)
 from termloom.operators.ranking import query_weights
 from termloom.plans.query_log import parse_query_log, query_status, scoring_terms
 from termloom.plans.search import (
@@ -165,6 +173,10 @@ def q_document_stats(spark, sf_dir):
     )
 
 
+def q_stored_terms(spark, sf_dir):
+    return _index(spark, sf_dir).terms
+
+
 def q_corpus_size(spark, sf_dir):
     return corpus_size(_index(spark, sf_dir))
 
@@ -180,6 +192,10 @@ def _leaves(spark, queries):
     return settle(parse_query_log(_log(spark, queries)))
 
 
+def q_term_lookup(spark, sf_dir):
+    return term_documents(_index(spark, sf_dir), "the")
+
+
 def q_term_match(spark, sf_dir):
     leaves = _leaves(spark, [(1, "the"), (2, "Disgusting"), (3, "évi ofonrereer"), (4, "absent")])
     return match_terms(_index(spark, sf_dir), leaves)
@@ -199,6 +215,11 @@ def q_pattern_wildcards(spark, sf_dir):
     return match_patterns(_index(spark, sf_dir), leaves)
 
 
+def q_pattern_terms(spark, sf_dir):
+    leaves = _leaves(spark, [(1, "PATRON(gust) PATRON(o_thon) PATRON(li%ch) PATRON(q) PATRON(c\\uen)")])
+    return expand_patterns(_index(spark, sf_dir), leaf_values(leaves, "pattern"))
+
+
 def q_phrase_match(spark, sf_dir):
     leaves = _leaves(
         spark,
@@ -213,6 +234,12 @@ def q_phrase_batch_benchmark(spark, sf_dir):
     return match_phrases(_index(spark, sf_dir), leaves).select("query_id", "doc_id")
 
 
+def q_phrase_skip_repeated(spark, sf_dir):
+    leaves = settle(parse_query_log(_phrase_log(spark, sf_dir)))
+    hits = match_phrases(_index(spark, sf_dir), leaves, skip_repeated=True)
+    return hits.select("query_id", "doc_id")
+
+
 def q_leaf_hits(spark, sf_dir):
     return match_leaves(_index(spark, sf_dir), _leaves(spark, SAMPLE_LOG))
 

@@ -300,6 +300,21 @@ def oracle_sql() -> dict[str, str]:
             FROM arrivals""",
     }
     sql["stored_postings"] = sql["postings"]
+    sql["stored_terms"] = sql["term_dictionary"]
+    sql["term_lookup"] = _with(_index()) + "SELECT doc_id FROM post WHERE term = 'the'"
+    # The last pattern is typed with a backslash, which stands for the letter after it.
+    sql["pattern_terms"] = _with(_index()) + r"""
+        SELECT value, term FROM dict, (VALUES
+            ('gust', 'gust'), ('o_thon', 'o_thon'), ('li%ch', 'li%ch'), ('q', 'q'),
+            ('c\uen', 'cuen')) AS p(value, pattern)
+        WHERE term LIKE '%' || pattern || '%'"""
+    sql["phrase_skip_repeated"] = _with(
+        _index(),
+        f"""leaves AS (
+            SELECT * FROM ({_PHRASES})
+            WHERE len(list_distinct(string_split(value, ' '))) = len(string_split(value, ' ')))""",
+        _HITS,
+    ) + "SELECT query_id, doc_id FROM hits WHERE hit"
 
     hits = "SELECT query_id, leaf_id, doc_id FROM hits WHERE hit"
     for name, kind, values in (

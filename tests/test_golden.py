@@ -147,3 +147,23 @@ def test_status(spark):
     assert rows == {
         1: "ok", 2: "blank", 3: "malformed", 4: "no_scoring_terms", 5: "malformed", 6: "ok",
     }
+
+
+def test_results_without_any_broadcast(spark, golden_index, answers, monkeypatch):
+    from termloom import session
+    from termloom.operators import matching
+
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        log = spark.createDataFrame(list(enumerate(RESULTS)), "query_id bigint, q string")
+        result = ranked_search(golden_index, log)
+        assert "BroadcastHashJoin" not in result._jdf.queryExecution().executedPlan().toString()
+        rows = result.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    got = {(r["query_id"], r["rank"], r["doc_id"], round(r["score"], 9)) for r in rows}
+    want = {(r["query_id"], r["rank"], r["doc_id"], round(r["score"], 9)) for r in answers[0]}
+    assert got == want

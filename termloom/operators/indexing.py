@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import normalize_tokens, snippet
-from termloom.session import hold, spread
+from termloom.session import hold, settle, spread
 from termloom.sources.corpus import assign_doc_ids, document_key
 
 DOCUMENT_COLUMNS = [
@@ -97,6 +97,32 @@ def _run_length(start: Column, run: Column) -> Column:
     return F.coalesce(F.get("starts", run + 1), F.size("ordered.terms")) - start
 
 
+def latest_versions(docs: DataFrame) -> DataFrame:
+    """Parsed documents, of each ``doc_key`` only the valid version with the highest ``seq``.
+
+    The row-number filter is applied in every partition before the rows are moved, so many
+    versions of one document do not meet in one task.
+    """
+    parsed = parse_documents(spread(docs))
+    newest = Window.partitionBy("doc_key").orderBy(
+        F.col("seq").desc(), F.col("filepath").desc(), F.col("snippet").desc()
+    )
+    winners = parsed.withColumn("newest", F.row_number().over(newest)).filter("newest = 1")
+    return winners.drop("newest", "seq")
+
+
+def parse_corpus(docs: DataFrame, after: int = -1) -> DataFrame:
+    """Parsed documents with ids, written out.
+
+    With a ``seq`` column, the order of arrival, several versions of a document may come.
+    Missing ids are given above ``after``.
+    """
+    parsed = latest_versions(docs) if "seq" in docs.columns else parse_documents(spread(docs))
+    if "doc_id" in parsed.columns:
+        return settle(parsed, "parsed")
+    return assign_doc_ids(parsed, after)
+
+
 def document_rows(parsed: DataFrame) -> DataFrame:
     """The ``documents`` table of parsed documents."""
     stamped = parsed.withColumn("uploaded_at", F.current_timestamp())
@@ -119,8 +145,11 @@ def term_rows(postings: DataFrame) -> DataFrame:
 
 
 def build_index(docs: DataFrame) -> SearchIndex:
-    """Index ``docs`` (filename, text, optionally doc_id and filepath) without storing it."""
-    parsed = parse_documents(spread(assign_doc_ids(docs)))
+    """Index ``docs`` without storing the index.
+
+    Columns: filename, text and optionally doc_id, filepath and seq.
+    """
+    parsed = parse_corpus(docs)
     postings = posting_rows(parsed)
     return SearchIndex(document_rows(parsed), term_rows(postings), postings)
 

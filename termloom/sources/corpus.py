@@ -23,7 +23,7 @@ def _file_columns(raw: DataFrame) -> DataFrame:
     return raw.select(
         file_name(path).alias("filename"),
         path.alias("filepath"),
-        F.col("_metadata.file_modification_time").alias("modified_at"),
+        F.unix_micros("_metadata.file_modification_time").alias("seq"),
         F.col("value").alias("text"),
     )
 
@@ -31,8 +31,8 @@ def _file_columns(raw: DataFrame) -> DataFrame:
 def read_text_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Read every file under ``path`` as one document, whatever its extension.
 
-    Files that vanish or cannot be read are skipped.  Columns: filename, filepath,
-    modified_at, text.
+    Files that vanish or cannot be read are skipped.  Columns: filename, filepath, seq (the
+    modification time, by which the last of several files of one name wins), text.
     """
     reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
     return _file_columns(reader.text(path, wholetext=True))

@@ -25,12 +25,11 @@ from termloom.operators.indexing import (
     SearchIndex,
     bucket_of,
     document_rows,
-    parse_documents,
+    parse_corpus,
     posting_rows,
     term_rows,
 )
-from termloom.session import scratch_path, settle, spread
-from termloom.sources.corpus import assign_doc_ids
+from termloom.session import scratch_path
 
 # One posting partition per this many tokens, within the given limit.
 TOKENS_PER_BUCKET = 2_000_000
@@ -52,7 +51,7 @@ def index_corpus(docs: DataFrame, root: str) -> SearchIndex:
     The parsed documents are written once, so each text is tokenised once although both the
     documents and the postings come from it.
     """
-    parsed = settle(parse_documents(spread(assign_doc_ids(docs))), "parsed")
+    parsed = parse_corpus(docs)
     postings = posting_rows(parsed)
     return save_index(SearchIndex(document_rows(parsed), None, postings), root)
 

@@ -26,12 +26,11 @@ def ingest_stream(
         commit = latest_commit(batch.sparkSession, root)
         if commit and commit["batch_id"] is not None and commit["batch_id"] >= batch_id:
             return
-        arrivals = batch.withColumn("seq", F.col("modified_at"))
         if commit is None:
             empty = batch.limit(0).select("filename", "filepath", "text")
             index_corpus(empty.withColumn("doc_id", F.lit(0).cast("bigint")), root)
         index = load_index(batch.sparkSession, root)
-        save_index(upsert(index, arrivals), root, batch_id)
+        save_index(upsert(index, batch), root, batch_id)
 
     return (
         files.writeStream.foreachBatch(apply)

@@ -26,6 +26,19 @@ def test_text_files(spark, tmp_path):
     assert search_one(spark, index, "CADENA(linea segunda)") == ["Uno dos+tres%20ñ.TXT"]
 
 
+def test_last_file_of_a_name_wins(spark, tmp_path):
+    import os
+
+    for folder, name, text, when in (("x", "a.txt", "viejo", 100), ("y", "A.txt", "nuevo", 200),
+                                     ("z", "a.txt", "12", 300)):
+        (tmp_path / folder).mkdir()
+        write(tmp_path / folder, name, text)
+        os.utime(tmp_path / folder / name, (when, when))
+    index = build_index(read_text_files(spark, [str(tmp_path / f) for f in "xyz"]))
+    assert search_one(spark, index, "viejo OR nuevo OR PATRON()") == ["A.txt"]
+    assert search_one(spark, index, "viejo") == []
+
+
 def test_stored_index_without_documents(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id bigint, filename string, text string")
     index = index_corpus(empty, str(tmp_path))

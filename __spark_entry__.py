@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from registry.oracle import oracle_sql  # noqa: F401  (part of the driver contract)
+from registry import oracle
 from registry.sample_log import BOOLEAN_QUERIES, SAMPLE_LOG
 from termloom.functions.text import (
     drop_stopwords,
@@ -54,6 +54,19 @@ from termloom.session import hold, settle, spread
 from termloom.sources.corpus import table_documents
 from termloom.sources.index_store import index_once
 
+try:  # the operators for training data are an optional part
+    from termloom.llm.queries import llm_oracle_sql, llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("termloom.llm", "termloom.llm.queries"):
+        raise
+    llm_queries = llm_oracle_sql = dict
+try:
+    from corpus_pipeline import pipeline_oracle_sql, pipeline_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "termloom.llm"):
+        raise
+    pipeline_queries = pipeline_oracle_sql = dict
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -366,4 +379,10 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """All registered queries by name."""
     named = {name[2:]: run for name, run in globals().items() if name.startswith("q_")}
-    return named | {name: _boolean(name) for name in BOOLEAN_QUERIES}
+    searches = {name: _boolean(name) for name in BOOLEAN_QUERIES}
+    return named | searches | llm_queries() | pipeline_queries()
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL of every query that SQL can express."""
+    return oracle.oracle_sql() | llm_oracle_sql() | pipeline_oracle_sql()

@@ -4,9 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from termloom.llm.bpe import decode_documents, encode_documents
+from termloom.llm.counting import count_tokens
 from termloom.llm.packing import pack_documents
+from termloom.llm.planes import document_checksums, write_token_files
+from termloom.llm.simhash import near_duplicates
+from termloom.llm.substrings import remove_repeats
 from termloom.llm.support import ship_package
+from termloom.session import scratch_path
+
+CONTEXT_TOKENS = 4096
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +28,42 @@ def op1_best_fit_packing(spark, sf_dir):
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op2_substring_dedup(spark, sf_dir):
+    kept = remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_simhash_golay(spark, sf_dir):
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
+
+
+def op6_tree_bpe(spark, sf_dir):
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = encode_documents(_table(spark, sf_dir, "documents"), tokenizer)
+    return decode_documents(encoded, tokenizer).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_token_counts(spark, sf_dir):
+    tokenizer = public_tokenizers.path("piece_bpe_32k.model")
+    cache = scratch_path(spark, "token-counts")
+    counts = count_tokens(_table(spark, sf_dir, "documents"), tokenizer, cache)
+    return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
+
+
+def op10_bit_plane_files(spark, sf_dir):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    path = scratch_path(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer)
+    return document_checksums(spark, path)
+
+
 def llm_queries() -> dict:
     """All queries of this package by name."""
     return {name: run for name, run in globals().items() if name.startswith("op")}

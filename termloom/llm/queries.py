@@ -8,15 +8,39 @@ from pyspark.sql import functions as F
 
 from termloom.llm.bpe import decode_documents, encode_documents
 from termloom.llm.counting import count_tokens
+from termloom.llm.language import held_out, identify_languages, learn_languages
+from termloom.llm.multiset import as_text, fingerprint_edits, likeness
 from termloom.llm.packing import pack_documents
 from termloom.llm.planes import document_checksums, write_token_files
+from termloom.llm.secret_scan import KINDS, scan_secrets
 from termloom.llm.simhash import near_duplicates
 from termloom.llm.substrings import remove_repeats
 from termloom.llm.support import ship_package
+from termloom.llm.vectors import top_k
 from termloom.session import scratch_path
 
 CONTEXT_TOKENS = 4096
 
+TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
@@ -33,6 +57,44 @@ def op2_substring_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_secret_scan(spark, sf_dir):
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    kinds = F.array(*map(F.lit, KINDS))
+
+    def joined(spans):
+        text = F.transform(spans, lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"], s["end"]))
+        return F.array_join(text, ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    live = F.filter("spans", lambda s: ~s["is_example"])
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        F.size(live).cast("bigint").alias("n_owner_specific"),
+    )
+
+
+def op4_multiset_hash(spark, sf_dir):
+    found = fingerprint_edits(_table(spark, sf_dir, "documents"))
+    own, changed = F.col("own"), F.col("changed")
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_text(own).alias("fingerprint"),
+        as_text(changed).alias("edited_fingerprint"),
+        likeness(own, changed).alias("near_edited"),
+        likeness(own, F.col("following")).alias("near_next"),
+    )
+
+
 def op5_simhash_golay(spark, sf_dir):
     found = near_duplicates(_table(spark, sf_dir, "documents"))
     fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
@@ -50,6 +112,16 @@ def op6_tree_bpe(spark, sf_dir):
     )
 
 
+def op7_kd_tree_top_k(spark, sf_dir):
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found = identify_languages(docs, learn_languages(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op9_token_counts(spark, sf_dir):
     tokenizer = public_tokenizers.path("piece_bpe_32k.model")
     cache = scratch_path(spark, "token-counts")
@@ -71,4 +143,4 @@ def llm_queries() -> dict:
 
 def llm_oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    return {"op7_kd_tree_top_k": TOP_K_SQL}

@@ -118,24 +118,62 @@ def remove_repeats(
 
     def make(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text, contexts, windows in rows:
-            if not contexts and not windows:
-                words = (text or "").encode().split()
-                yield doc_id, len(words), 0, b" ".join(words).decode()
-                continue
-            own = WordWindows(text, length)
-            starts, _, found = own.anchors()
-            shared = own.around(starts[np.isin(found.view(np.int64), contexts or [])])
-            if windows:
-                every = np.arange(len(own.words) - length + 1)
-                again = np.isin(own.windows(every).view(np.int64), windows)
-                shared = np.union1d(shared, every[again])
-            removed = own.covered(shared)
-            kept = [word for word, gone in zip(own.words, removed.tolist(), strict=True) if not gone]
-            yield doc_id, len(own.words), len(own.words) - len(kept), b" ".join(kept).decode()
+            kept, n_removed = _without(text, contexts, windows, length)
+            yield doc_id, len(kept) + n_removed, n_removed, b" ".join(kept).decode()
 
     return rows_map(texts.join(marks, "doc_id", "left").select("doc_id", "text", "contexts", "windows"), schema, make)
 
 
+def drop_repeats(docs: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
+    """``docs`` (doc_id, text, n_chars and any others) without the words that
+    :func:`remove_repeats` removes.
+
+    Texts that lose nothing stay as they are; those that lose all their words go.
+    """
+    marks = _marks(texts_of(docs), length)
+    marks = marks.select(F.col("doc_id").alias("_id"), F.struct("contexts", "windows").alias("_marks"))
+    joined = docs.join(marks, docs["doc_id"] == marks["_id"], "left").select(docs["*"], marks["_marks"])
+    places = {name: docs.columns.index(name) for name in ("text", "n_chars")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, marks = batch.columns[:-1], batch.column(batch.num_columns - 1).to_pylist()
+            texts, sizes = (columns[place].to_pylist() for place in places.values())
+            keep = [True] * len(texts)
+            for i, mark in enumerate(marks):
+                if mark is None:
+                    continue
+                kept, n_removed = _without(texts[i], mark["contexts"], mark["windows"], length)
+                if n_removed:
+                    texts[i] = b" ".join(kept).decode()
+                    sizes[i] = len(texts[i])
+                    keep[i] = bool(kept)
+            for place, values in zip(places.values(), (texts, sizes), strict=True):
+                columns[place] = pa.array(values, columns[place].type)
+            changed = pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield changed.filter(pa.array(keep, pa.bool_()))
+
+    return joined.mapInArrow(run, docs.schema)
+
+
+def _without(text: str | None, contexts: list, windows: list, length: int) -> tuple[list[bytes], int]:
+    """The words left of a text, and how many are removed."""
+    if not contexts and not windows:
+        return (text or "").encode().split(), 0
+    own = WordWindows(text, length)
+    if len(own.words) < length:  # a row of the same id but another text
+        return own.words, 0
+    starts, _, found = own.anchors()
+    shared = own.around(starts[np.isin(found.view(np.int64), contexts or [])])
+    if windows:
+        every = np.arange(len(own.words) - length + 1)
+        again = np.isin(own.windows(every).view(np.int64), windows)
+        shared = np.union1d(shared, every[again])
+    removed = own.covered(shared)
+    kept = [word for word, gone in zip(own.words, removed.tolist(), strict=True) if not gone]
+    return kept, len(own.words) - len(kept)
+
+
 def _marks(texts: DataFrame, length: int) -> DataFrame:
     """Per document the contexts and the windows that a smaller id has too."""
     found = settle(_anchors(texts, length), "anchors")
@@ -189,6 +227,8 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for doc_id, text, contexts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 own = WordWindows(text, length)
+                if len(own.words) < length:
+                    continue
                 starts, _, found = own.anchors()
                 at = own.around(starts[np.isin(found.view(np.int64), contexts)])
                 hashes, first = np.unique(own.windows(at), return_index=True)

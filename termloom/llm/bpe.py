@@ -112,6 +112,7 @@ def join_ids(encoder: ByteEncoder, left: bytes, right: bytes, window: int = WIND
     """Ids of two texts one after the other, from the ids of each."""
     if not left or not right:
         return left + right
+    window = max(window, encoder.special_chars)  # or a special token could go unseen in the cut
     a, b = memoryview(left).cast("I"), memoryview(right).cast("I")
 
     def splits_character(token: int) -> bool:

@@ -111,6 +111,7 @@ class ByteEncoder(Encoder):
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         back = {ord(shown): byte for byte, shown in self.bytes_of.items()}
         special = self.tokenizer.get_added_tokens_decoder()
+        self.special_chars = max((len(token.content) for token in special.values()), default=0)
         self.token_bytes = [
             self.tokenizer.id_to_token(i).encode()
             if i in special

@@ -22,7 +22,7 @@ from termloom.session import hold, settle
 
 SALTS = 4  # two lanes of 32 bits each
 SEEDS = 2  # phrase hashes; 60 of the bits of each are counted
-PHRASE = r"(?:[^\s.!?]+\s*){1,8}[.!?]*|[.!?]+"
+PHRASE = r"(?:[^\s.!?]+[^\S\n]*){1,8}[.!?]*|[.!?]+"  # never beyond its paragraph
 
 _LANE = (1 << 32) - 1
 _COUNTER = (1 << 20) - 1

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.support import rows_map
+from termloom.llm.support import rows_map, unused
 from termloom.session import settle
 
 # Distinct owners from which on a value counts as a widely copied example.
@@ -166,12 +166,13 @@ def redact_secrets(
     span that is not a widely copied example.
     """
     spans = _judged(find_candidates(docs, "doc_id", "source", "text"), example_owners)
+    name = unused(docs, "_spans")
     found = spans.filter(~F.col("is_example")).groupBy("doc_id", "version").agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_spans")
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias(name)
     )
-    found = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "_spans")
+    found = found.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), name)
     same = docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"]) == found["_version"])
-    joined = docs.join(found, same, "left").select(docs["*"], found["_spans"])
+    joined = docs.join(found, same, "left").select(docs["*"], found[name])
     places = {name: docs.columns.index(name) for name in ("text", "n_chars")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.support import arrow_map, mix64, powers, rows_map, texts_of
+from termloom.llm.support import arrow_map, mix64, powers, rows_map, texts_of, unused
 from termloom.session import settle
 
 WINDOW_WORDS = 50
@@ -131,8 +131,9 @@ def drop_repeats(docs: DataFrame, length: int = WINDOW_WORDS) -> DataFrame:
     Texts that lose nothing stay as they are; those that lose all their words go.
     """
     marks = _marks(texts_of(docs), length)
-    marks = marks.select(F.col("doc_id").alias("_id"), F.struct("contexts", "windows").alias("_marks"))
-    joined = docs.join(marks, docs["doc_id"] == marks["_id"], "left").select(docs["*"], marks["_marks"])
+    name = unused(docs, "_marks")
+    marks = marks.select(F.col("doc_id").alias("_id"), F.struct("contexts", "windows").alias(name))
+    joined = docs.join(marks, docs["doc_id"] == marks["_id"], "left").select(docs["*"], marks[name])
     places = {name: docs.columns.index(name) for name in ("text", "n_chars")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

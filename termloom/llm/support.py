@@ -82,6 +82,14 @@ def texts_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """``base ** 0 .. base ** (n - 1)`` modulo 2 ** 64."""
     steps = np.full(n, base, dtype=np.uint64)

@@ -124,8 +124,11 @@ def join_ids(encoder: ByteEncoder, left: bytes, right: bytes, window: int = WIND
             i -= 1
         while j < len(b) and splits_character(b[j]):
             j += 1
-        joint = encoder.encode_whole(encoder.decode(left[4 * i :] + right[: 4 * j]))
-        tokens = memoryview(joint).cast("I")
-        if (i == 0 or tokens[0] == a[i]) and (j == len(b) or tokens[-1] == b[j - 1]):
-            return left[: 4 * i] + joint + right[4 * j :]
+        text = encoder.decode(left[4 * i :] + right[: 4 * j])
+        # How a run of blanks is cut depends on what follows, so no window ends in one.
+        if j == len(b) or not text[-1:].isspace():
+            joint = encoder.encode_whole(text)
+            tokens = memoryview(joint).cast("I")
+            if (i == 0 or tokens[0] == a[i]) and (j == len(b) or tokens[-1] == b[j - 1]):
+                return left[: 4 * i] + joint + right[4 * j :]
         window *= 2

@@ -60,7 +60,7 @@ def test_decoding_equals_the_library(byte):
 
 def test_joined_halves_equal_the_whole(byte):
     draw = random.Random(2)
-    texts = random_texts(1500, 60)
+    texts = random_texts(6000, 60)
     texts += ["".join(draw.choices("ab", k=400)) for _ in range(100)]
     texts += [" " * draw.randint(1, 300) + "x" for _ in range(50)]
     texts += ["".join(draw.choices("étudiant日😀", k=200)) for _ in range(50)]

@@ -28,31 +28,38 @@ def encode_documents(
     docs: DataFrame,
     tokenizer: str,
     leaf_chars: int = LEAF_CHARS,
+    decoded: bool = False,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """Ids of every whole text as the library gives them without added special tokens.
 
+    With ``decoded`` the ids are decoded again, by the same worker that made them.
+
     A null text is encoded as an empty one, which has no ids.  Repeated rows are returned as
     often as they occur; an empty table gives no rows.
 
-    Returns doc_id and ids (little-endian unsigned 32-bit numbers).
+    Returns doc_id, ids (little-endian unsigned 32-bit numbers) and, if asked for, decoded.
     """
     texts = texts_of(docs, id_column, text_column)
     texts = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     is_long = F.char_length("text") > leaf_chars
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    columns = ["doc_id", "ids", "decoded"][: 3 if decoded else 2]
+    kinds = [pa.int64(), pa.binary(), pa.string()]
+    schema = pa.schema(list(zip(columns, kinds)))
 
     def make(rows: Iterator[tuple]) -> Iterator[tuple]:
         encoder = byte_encoder(tokenizer)
         for doc_id, text in rows:
-            yield doc_id, encoder.encode(text)
+            ids = encoder.encode(text)
+            yield (doc_id, ids, encoder.decode(ids)) if decoded else (doc_id, ids)
 
     short = rows_map(texts.filter(~is_long), schema, make)
     # A long text is known by its digest, so copies of it are encoded once.
     long = texts.filter(is_long).withColumn("content", F.sha2("text", 256))
     joined = _encode_long(long, tokenizer, leaf_chars)
-    return short.unionByName(long.select("doc_id", "content").join(joined, "content").select("doc_id", "ids"))
+    found = long.select("doc_id", "content").join(joined, "content").select("doc_id", "ids")
+    return short.unionByName(decode_documents(found, tokenizer) if decoded else found)
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termloom.llm.bpe import decode_documents, encode_documents
+from termloom.llm.bpe import encode_documents
 from termloom.llm.counting import count_tokens
 from termloom.llm.language import held_out, identify_languages, learn_languages
 from termloom.llm.multiset import as_text, fingerprint_edits, likeness
@@ -103,8 +103,8 @@ def op5_simhash_golay(spark, sf_dir):
 
 def op6_tree_bpe(spark, sf_dir):
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = encode_documents(_table(spark, sf_dir, "documents"), tokenizer)
-    return decode_documents(encoded, tokenizer).select(
+    encoded = encode_documents(_table(spark, sf_dir, "documents"), tokenizer, decoded=True)
+    return encoded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

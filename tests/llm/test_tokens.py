@@ -75,6 +75,8 @@ def test_tree_concatenation_of_messy_texts(spark, messy, byte):
     got = sorted(((r.doc_id or -1, bytes(r.ids), r.decoded) for r in decode_documents(encoded, BYTE).collect()))
     want = sorted((i or -1, byte.encode_whole(t or ""), t or "") for i, t, _, _ in messy_texts())
     assert got == want
+    again = encode_documents(messy, BYTE, leaf_chars=100, decoded=True).collect()
+    assert sorted((r.doc_id or -1, bytes(r.ids), r.decoded) for r in again) == want
 
 
 def test_tree_concatenation_of_nothing(no_docs):

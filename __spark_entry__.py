@@ -50,7 +50,7 @@ from termloom.plans.search import (
     score_matches,
     search,
 )
-from termloom.session import hold, settle, spread
+from termloom.session import hold, measured, settle, spread
 from termloom.sources.corpus import table_documents
 from termloom.sources.index_store import index_once
 
@@ -91,8 +91,8 @@ def _log(spark: SparkSession, queries: list[tuple[int, str]]) -> DataFrame:
 
 
 def _conversation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation turn as a query string."""
-    number = F.col("conv_id") * 1000 + F.col("turn")
+    """Every conversation turn as a query string; the number is one for each (conv_id, turn)."""
+    number = F.expr("(conv_id + turn) * (conv_id + turn + 1) div 2 + turn")
     return _table(spark, sf_dir, "conversations").select(
         number.alias("query_id"), F.col("text").alias("q")
     )
@@ -299,7 +299,7 @@ def q_cosine_similarity(spark, sf_dir):
 
 def q_query_weights(spark, sf_dir):
     terms = settle(scoring_terms(parse_query_log(_benchmark_log(spark, sf_dir))))
-    return _rounded(query_weights(_index(spark, sf_dir), terms, terms.count()))
+    return _rounded(query_weights(_index(spark, sf_dir), terms, measured(terms)))
 
 
 def q_ranked_search(spark, sf_dir):

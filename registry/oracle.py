@@ -170,8 +170,9 @@ _RANKED = """
     ranked AS (
         SELECT query_id,
                row_number() OVER (PARTITION BY query_id
-                                  ORDER BY round(score, 10) DESC, doc_id) AS rank,
-               doc_id, doc_id::VARCHAR AS filename, left(text, 250) AS snippet,
+                                  ORDER BY round(score, 10) DESC, doc_id)::INTEGER AS rank,
+               doc_id, doc_id::VARCHAR AS filename, NULL::VARCHAR AS filepath,
+               left(text, 250) AS snippet,
                round(score, 8) AS score, round(cosine_sim, 8) AS cosine_sim
         FROM scored JOIN documents USING (doc_id))"""
 
@@ -215,7 +216,7 @@ def _log_leaves(log: str, split_words: bool = False) -> str:
         WHERE role[place] = 'x')"""
 
 
-_CONVERSATIONS = "SELECT conv_id * 1000 + turn AS query_id, text AS q FROM conversations"
+_CONVERSATIONS = "SELECT (conv_id + turn) * (conv_id + turn + 1) // 2 + turn AS query_id, text AS q FROM conversations"
 _PASSAGES = "SELECT item_id AS query_id, text AS q FROM benchmark"
 _PHRASES = f"""
     SELECT item_id AS query_id, 0 AS disjunct_id, 1 AS leaf_id, 'phrase' AS kind,
@@ -274,7 +275,7 @@ def oracle_sql() -> dict[str, str]:
                 WHEN malformed THEN 'malformed'
                 WHEN query_id NOT IN (SELECT query_id FROM query_terms) THEN 'no_scoring_terms'
                 ELSE 'ok' END AS status
-            FROM (SELECT conv_id * 1000 + turn AS query_id FROM conversations)
+            FROM (SELECT (conv_id + turn) * (conv_id + turn + 1) // 2 + turn AS query_id FROM conversations)
             LEFT JOIN shaped USING (query_id)""",
         "batch_ranked_search":
             _ranked(_log_leaves(_PASSAGES), "SELECT * FROM ranked", hits=_TERM_HITS),
@@ -350,9 +351,7 @@ def oracle_sql() -> dict[str, str]:
     sql["tfidf_multi_term"] = _ranked(several, "SELECT doc_id, score FROM ranked")
     sql["cosine_similarity"] = _ranked(repeated, "SELECT doc_id, cosine_sim FROM ranked")
     sql["ranked_search"] = _ranked(sample, "SELECT * FROM ranked")
-    sql["top_k_per_query"] = _ranked(
-        sample, "SELECT * REPLACE (rank::INTEGER AS rank) FROM ranked WHERE rank <= 10"
-    )
+    sql["top_k_per_query"] = _ranked(sample, "SELECT * FROM ranked WHERE rank <= 10")
     unscored = _leaves(_single("pattern", ["onth"]) + [(2, 0, 1, "term", "the", True)])
     sql["zero_score_kept"] = _ranked(unscored, "SELECT * FROM ranked")
     return sql

@@ -39,6 +39,8 @@ def fold_text(text: Column) -> Column:
     spelled = lowered
     for char, base in _ONE_TO_MANY.items():
         spelled = F.replace(spelled, F.lit(char), F.lit(base))
+    # Few texts hold any of these; the others are spared all the passes.
+    spelled = F.when(lowered.rlike(f"[{''.join(_ONE_TO_MANY)}]"), spelled).otherwise(lowered)
     folded = F.translate(spelled, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
     return F.when(F.octet_length(text) == F.char_length(text), lowered).otherwise(folded)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termloom.functions.text import normalize_tokens, snippet
-from termloom.session import hold, settle, spread
+from termloom.session import broadcast_if, hold, measured, settle, spread
 from termloom.sources.corpus import assign_doc_ids, document_key
 
 DOCUMENT_COLUMNS = [
@@ -50,6 +50,8 @@ def parse_documents(docs: DataFrame) -> DataFrame:
         docs = docs.withColumn("filepath", F.lit(None).cast("string"))
     docs = docs.withColumn("doc_key", document_key(F.col("filename")))
     docs = docs.withColumn("snippet", snippet(F.col("text")))
+    if "seq" in docs.columns:  # tells versions of equal rank apart, whole texts compared
+        docs = docs.withColumn("text_hash", F.sha2("text", 256))
     kept = [name for name in docs.columns if name != "text"]
 
     docs = hold(docs, "tokens", normalize_tokens(F.col("text")), kept)
@@ -100,23 +102,29 @@ def _run_length(start: Column, run: Column) -> Column:
 def latest_versions(docs: DataFrame) -> DataFrame:
     """Parsed documents, of each ``doc_key`` only the valid version with the highest ``seq``.
 
-    The row-number filter is applied in every partition before the rows are moved, so many
-    versions of one document do not meet in one task.
+    Versions of equal ``seq`` are ordered by a hash of their whole text, then by path.  Only
+    keys are compared: the parsed rows are written once, and the losing versions, usually few,
+    are taken out of them.
     """
-    parsed = parse_documents(spread(docs))
+    numbered = parse_documents(spread(docs)).withColumn("row", F.monotonically_increasing_id())
+    parsed = settle(numbered, "versions")
     newest = Window.partitionBy("doc_key").orderBy(
-        F.col("seq").desc(), F.col("filepath").desc(), F.col("snippet").desc()
+        F.col("seq").desc(), F.col("text_hash").desc(), F.col("filepath").desc(), "row"
     )
-    winners = parsed.withColumn("newest", F.row_number().over(newest)).filter("newest = 1")
-    return winners.drop("newest", "seq")
+    order = parsed.select("row", "doc_key", "seq", "text_hash", "filepath")
+    losers = order.withColumn("place", F.row_number().over(newest)).filter("place > 1").select("row")
+    losers = settle(losers, "losers")
+    winners = parsed.join(broadcast_if(losers, measured(losers)), "row", "left_anti")
+    return winners.drop("row", "seq", "text_hash")
 
 
 def parse_corpus(docs: DataFrame, after: int = -1) -> DataFrame:
     """Parsed documents with ids, written out.
 
     With a ``seq`` column, the order of arrival, several versions of a document may come.
-    Missing ids are given above ``after``.
+    Missing ids are given above ``after``.  The time of the load is fixed here.
     """
+    docs = docs.withColumn("uploaded_at", F.current_timestamp())
     parsed = latest_versions(docs) if "seq" in docs.columns else parse_documents(spread(docs))
     if "doc_id" in parsed.columns:
         return settle(parsed, "parsed")
@@ -125,8 +133,7 @@ def parse_corpus(docs: DataFrame, after: int = -1) -> DataFrame:
 
 def document_rows(parsed: DataFrame) -> DataFrame:
     """The ``documents`` table of parsed documents."""
-    stamped = parsed.withColumn("uploaded_at", F.current_timestamp())
-    return stamped.select(*DOCUMENT_COLUMNS)
+    return parsed.select(*DOCUMENT_COLUMNS)
 
 
 def posting_rows(parsed: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.operators.indexing import SearchIndex, probe_postings
-from termloom.session import BROADCAST_ROWS, broadcast_if, settle
+from termloom.session import Size, broadcast_if, measured, settle
 
 HIT_COLUMNS = ["query_id", "leaf_id", "doc_id"]
 
@@ -27,24 +27,24 @@ def leaf_values(leaves: DataFrame, kind: str) -> DataFrame:
     return leaves.filter(wanted).select("value").distinct()
 
 
-def _of_leaves(leaves: DataFrame, kind: str, found: DataFrame, rows: int) -> DataFrame:
+def _of_leaves(leaves: DataFrame, kind: str, found: DataFrame, size: Size) -> DataFrame:
     """Turn (value, doc_id) into hits of every leaf of that kind and value."""
     wanted = leaves.filter(F.col("kind") == kind).select("query_id", "leaf_id", "value")
-    return found.join(broadcast_if(wanted, rows), "value").select(*HIT_COLUMNS)
+    return found.join(broadcast_if(wanted, size), "value").select(*HIT_COLUMNS)
 
 
 # Terms ---------------------------------------------------------------------------------
 
 
-def match_terms(index: SearchIndex, leaves: DataFrame, rows: int | None = None) -> DataFrame:
+def match_terms(index: SearchIndex, leaves: DataFrame, size: Size | None = None) -> DataFrame:
     """Hits of the term leaves: documents that contain exactly that term.
 
-    ``rows``, here and below, is the number of leaves if the caller knows it.
+    ``size``, here and below, is the size of the leaves if the caller knows it.
     """
-    rows = leaf_count(leaves) if rows is None else rows
+    size = leaf_size(leaves) if size is None else size
     wanted = leaves.filter((F.col("kind") == "term") & F.col("value").isNotNull())
     wanted = wanted.select("query_id", "leaf_id", F.col("value").alias("term"))
-    return probe_postings(index, broadcast_if(wanted, rows), ["doc_id"]).select(*HIT_COLUMNS)
+    return probe_postings(index, broadcast_if(wanted, size), ["doc_id"]).select(*HIT_COLUMNS)
 
 
 def term_documents(index: SearchIndex, term: str) -> DataFrame:
@@ -52,9 +52,9 @@ def term_documents(index: SearchIndex, term: str) -> DataFrame:
     return index.postings.filter(F.col("term") == term).select("doc_id")
 
 
-def leaf_count(leaves: DataFrame) -> int:
-    """Number of rows, to decide about a broadcast."""
-    return leaves.count()
+def leaf_size(leaves: DataFrame) -> Size:
+    """Rows and text of the leaves, to decide about broadcasts."""
+    return measured(leaves.select("query_id", "leaf_id", "value"))
 
 
 # Patterns ------------------------------------------------------------------------------
@@ -100,9 +100,12 @@ def expand_patterns(index: SearchIndex, patterns: DataFrame) -> DataFrame:
     wanted = wanted.filter(F.col("pattern").isNotNull())
     wanted = wanted.withColumn("gram", pattern_gram(F.col("pattern")))
     facts = wanted.agg(
-        F.count(F.lit(1)).alias("n"), F.collect_set(F.length("gram")).alias("lengths")
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("n_bytes"),
+        F.collect_set(F.length("gram")).alias("lengths"),
     ).first()
-    wanted = broadcast_if(wanted, facts["n"])
+    # A row holds the value, the cleaned pattern and its gram.
+    wanted = broadcast_if(wanted, Size(facts["n"], 3 * facts["n_bytes"]))
     # At most four gram lengths occur; only those are cut from the dictionary.
     grams = [term_grams(index.terms, length) for length in sorted(facts["lengths"]) or [0]]
     terms = reduce(DataFrame.unionByName, grams)
@@ -113,7 +116,7 @@ def expand_patterns(index: SearchIndex, patterns: DataFrame) -> DataFrame:
     return terms.join(wanted, "gram").filter(fits).select("value", "term")
 
 
-def match_patterns(index: SearchIndex, leaves: DataFrame, rows: int | None = None) -> DataFrame:
+def match_patterns(index: SearchIndex, leaves: DataFrame, size: Size | None = None) -> DataFrame:
     """Hits of the pattern leaves: documents with any term that contains the pattern.
 
     Patterns made of ``%`` alone, and the empty one, hold for every indexed document and are
@@ -122,14 +125,14 @@ def match_patterns(index: SearchIndex, leaves: DataFrame, rows: int | None = Non
     values = leaf_values(leaves, "pattern")
     open_ended = F.col("value").rlike(r"^%*\z")
     expanded = settle(expand_patterns(index, values.filter(~open_ended)), "patterns")
-    expanded = broadcast_if(expanded, leaf_count(expanded))
+    expanded = broadcast_if(expanded, measured(expanded))
     found = probe_postings(index, expanded, ["doc_id"]).select("value", "doc_id").distinct()
 
     patterns = leaves.filter(F.col("kind") == "pattern")
-    rows = leaf_count(patterns) if rows is None else rows
-    hits = _of_leaves(leaves, "pattern", found, rows)
+    size = leaf_size(patterns) if size is None else size
+    hits = _of_leaves(leaves, "pattern", found, size)
     everywhere = patterns.filter(open_ended).select("query_id", "leaf_id")
-    paired = pair_with_documents(index, everywhere, rows)
+    paired = pair_with_documents(index, everywhere)
     return hits.unionByName(paired.select(*HIT_COLUMNS))
 
 
@@ -137,18 +140,17 @@ def match_patterns(index: SearchIndex, leaves: DataFrame, rows: int | None = Non
 
 
 def phrase_tokens(phrases: DataFrame) -> DataFrame:
-    """One row per token of each distinct phrase: ``(value, at, term, n_tokens)``."""
+    """One row per token of each phrase: ``(phrase_id, at, term, n_tokens)``."""
     tokens = F.split("value", " ")
-    split = phrases.filter(F.col("value") != "")
-    return split.select(
-        "value", F.size(tokens).alias("n_tokens"), F.posexplode(tokens).alias("at", "term")
+    return phrases.select(
+        "phrase_id", F.size(tokens).alias("n_tokens"), F.posexplode(tokens).alias("at", "term")
     )
 
 
 def match_phrases(
     index: SearchIndex,
     leaves: DataFrame,
-    rows: int | None = None,
+    size: Size | None = None,
     skip_repeated: bool = False,
 ) -> DataFrame:
     """Hits of the phrase leaves: documents with the phrase's tokens in a row.
@@ -157,20 +159,25 @@ def match_phrases(
     phrase.  A document qualifies when shifting each token's positions back by the token's
     place in the phrase leaves a common start.  With ``skip_repeated`` phrases that repeat a
     token match nothing.
+
+    Phrases are numbered first, and only their numbers travel with tokens and documents.
     """
-    phrases = leaf_values(leaves, "phrase")
+    values = leaf_values(leaves, "phrase").filter(F.col("value") != "")
     if skip_repeated:
         tokens = F.split("value", " ")
-        phrases = phrases.filter(F.size(F.array_distinct(tokens)) == F.size(tokens))
-    wanted = phrase_tokens(phrases)
-    n_tokens = leaf_count(wanted)
-
-    entries = probe_postings(index, broadcast_if(wanted, n_tokens), ["doc_id", "positions"])
-    candidates = _phrase_candidates(index, wanted, n_tokens)
-    if candidates is not None:
-        entries = entries.join(candidates, ["value", "doc_id"], "left_semi")
-
-    gathered = entries.groupBy("value", "doc_id").agg(
+        values = values.filter(F.size(F.array_distinct(tokens)) == F.size(tokens))
+    number = F.monotonically_increasing_id().alias("phrase_id")
+    phrases = settle(values.select(number, "value"), "phrases")
+    wanted = settle(phrase_tokens(phrases), "phrase-tokens")
+    tokens = measured(wanted)
+
+    # Only documents of a phrase's rarest token can hold it; both sides of this join, and the
+    # grouping behind it, share the distribution by (phrase_id, doc_id).
+    entries = probe_postings(index, broadcast_if(wanted, tokens), ["doc_id", "positions"])
+    candidates = _phrase_candidates(index, wanted, tokens)
+    entries = entries.join(candidates, ["phrase_id", "doc_id"], "left_semi")
+
+    gathered = entries.groupBy("phrase_id", "doc_id").agg(
         F.collect_list(F.struct("at", "positions")).alias("entries"),
         F.first("n_tokens").alias("n_tokens"),
     )
@@ -180,53 +187,54 @@ def match_phrases(
         _starts(F.col("entries")[0]),
         lambda common, entry: F.array_intersect(common, _starts(entry)),
     )
-    found = complete.filter(F.size(starts) > 0).select("value", "doc_id")
-    rows = leaf_count(leaves) if rows is None else rows
-    return _of_leaves(leaves, "phrase", found, rows)
+    found = complete.filter(F.size(starts) > 0).select("phrase_id", "doc_id")
+    size = leaf_size(leaves) if size is None else size
+    asked = leaves.filter(F.col("kind") == "phrase").select("query_id", "leaf_id", "value")
+    asked = asked.join(broadcast_if(phrases, size), "value").drop("value")
+    return found.join(broadcast_if(asked, Size(size.rows)), "phrase_id").select(*HIT_COLUMNS)
 
 
 def _starts(entry: Column) -> Column:
     return F.transform(entry["positions"], lambda pos: pos - entry["at"])
 
 
-def _phrase_candidates(index: SearchIndex, wanted: DataFrame, rows: int) -> DataFrame | None:
-    """Documents of each phrase's rarest token, when there are few enough to broadcast.
+def _phrase_candidates(index: SearchIndex, wanted: DataFrame, tokens: Size) -> DataFrame:
+    """Documents of each phrase's rarest token: ``(phrase_id, doc_id)``.
 
-    The dictionary gives their exact number before any posting is read.  Beyond the limit
-    the position lists are shuffled instead.
+    The dictionary gives their exact number before any posting is read; beyond the limit they
+    are shuffled instead of broadcast.
     """
-    words = broadcast_if(wanted.select("term").distinct(), rows)
+    words = broadcast_if(wanted.select("term").distinct(), tokens)
     known = index.terms.join(words, "term").select("term", "df")
     rarest = (
-        wanted.join(broadcast_if(known, rows), "term")
-        .groupBy("value")
+        wanted.join(broadcast_if(known, tokens), "term")
+        .groupBy("phrase_id")
         .agg(F.min_by(F.struct("term", "df"), F.struct("df", "term")).alias("rarest"))
-        .select("value", "rarest.term", "rarest.df")
+        .select("phrase_id", "rarest.term", "rarest.df")
     )
     rarest = settle(rarest, "rarest")
-    n_candidates = rarest.agg(F.sum("df")).first()[0] or 0
-    if n_candidates > BROADCAST_ROWS or rows > BROADCAST_ROWS:
-        return None
-    hits = probe_postings(index, F.broadcast(rarest.select("value", "term")), ["doc_id"])
-    return F.broadcast(hits.select("value", "doc_id"))
+    n_candidates = rarest.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+    probe = broadcast_if(rarest.select("phrase_id", "term"), tokens)
+    hits = probe_postings(index, probe, ["doc_id"]).select("phrase_id", "doc_id")
+    return broadcast_if(hits, Size(n_candidates))
 
 
 # Everything ----------------------------------------------------------------------------
 
-# Number of slices the document ids are cut into when all of them answer a leaf.
-SLICES = 64
+# Documents that a row whose answer is everything meets in one task.
+DOCUMENTS_PER_SLICE = 100_000
 
 
-def pair_with_documents(index: SearchIndex, rows: DataFrame, n_rows: int) -> DataFrame:
-    """Every document for each of the up to ``n_rows`` rows, whose answer is everything.
+def pair_with_documents(index: SearchIndex, rows: DataFrame) -> DataFrame:
+    """Every document for each of the rows, whose answer is everything.
 
-    The documents are sliced by a hash of their id and each row is repeated per slice, so the
-    unavoidable output comes from many tasks.
+    The documents are sliced by a hash of their id, more slices the more there are, and each
+    row is repeated per slice, so the unavoidable output comes from many tasks.
     """
-    slices = F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1)))
-    repeated = rows.withColumn("slice", slices)
-    repeated = broadcast_if(repeated, n_rows * SLICES)
-    slice_of = F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int")
+    n_slices = max(1, -(-index.documents.count() // DOCUMENTS_PER_SLICE))
+    repeated = rows.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))))
+    repeated = broadcast_if(repeated, measured(rows).times(n_slices))
+    slice_of = F.pmod(F.xxhash64("doc_id"), F.lit(n_slices)).cast("int")
     documents = index.documents.select("doc_id", slice_of.alias("slice"))
     return documents.join(repeated, "slice").drop("slice")
 
@@ -234,11 +242,11 @@ def pair_with_documents(index: SearchIndex, rows: DataFrame, n_rows: int) -> Dat
 def match_leaves(
     index: SearchIndex,
     leaves: DataFrame,
-    rows: int | None = None,
+    size: Size | None = None,
     kinds: set[str] | None = None,
 ) -> DataFrame:
     """Hits of all leaves, as if none were negated.  ``kinds`` names those that occur."""
-    rows = leaf_count(leaves) if rows is None else rows
+    size = leaf_size(leaves) if size is None else size
     matchers = {"term": match_terms, "pattern": match_patterns, "phrase": match_phrases}
     chosen = [match for kind, match in matchers.items() if kinds is None or kind in kinds]
-    return reduce(DataFrame.unionByName, [match(index, leaves, rows) for match in chosen])
+    return reduce(DataFrame.unionByName, [match(index, leaves, size) for match in chosen])

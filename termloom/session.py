@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side may be broadcast when its row count is known and no larger than this.
-BROADCAST_ROWS = 500_000
+# A side may be broadcast when an upper bound of its bytes is known and no larger than this.
+BROADCAST_BYTES = 32 << 20
 
 # Settings the plans rely on: run-time re-planning and splitting of hot join keys.
 RECOMMENDED = {
@@ -30,19 +30,10 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may go without that setting; it then gets a folder of its own.
+    Without that setting a folder in the warehouse is taken, which executors share as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="termloom-"))
-    return context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/termloom-scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -62,18 +53,41 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast ``df`` when ``rows``, an upper bound of its size, is small enough."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+class Size(NamedTuple):
+    """Upper bounds of a table: its rows and the bytes of its strings."""
+
+    rows: int
+    text_bytes: int = 0
+
+    def times(self, n: int) -> Size:
+        return Size(self.rows * n, self.text_bytes * n)
+
+    def plus(self, other: Size) -> Size:
+        return Size(self.rows + other.rows, self.text_bytes + other.text_bytes)
+
+
+def measured(df: DataFrame) -> Size:
+    """Size of a table by one pass over it."""
+    texts = [F.octet_length(name) for name, kind in df.dtypes if kind == "string"]
+    total = sum((F.coalesce(text, F.lit(0)) for text in texts), F.lit(0)).cast("bigint")
+    row = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(total), F.lit(0))).first()
+    return Size(*row)
+
+
+def broadcast_if(df: DataFrame, size: Size) -> DataFrame:
+    """Broadcast ``df``, a table without arrays, when ``size`` bounds it well enough."""
+    fixed = 16 * (len(df.columns) + 1)
+    return F.broadcast(df) if size.rows * fixed + size.text_bytes <= BROADCAST_BYTES else df
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a source that has fewer partitions than the cluster has cores.
+    """Repartition a source that has fewer files than the cluster has cores.
 
-    Meant for small inputs in few unsplittable files; a large source is left as it is.
+    Meant for small inputs in few unsplittable files; a large source is left as it is.  Only
+    the list of files is looked at, nothing runs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def hold(df: DataFrame, name: str, value: Column, keep: list[str] | None = None) -> DataFrame:

@@ -151,10 +151,8 @@ def test_status(spark):
 
 def test_results_without_any_broadcast(spark, golden_index, answers, monkeypatch):
     from termloom import session
-    from termloom.operators import matching
 
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(matching, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -30,13 +30,15 @@ class SearchIndex:
 
     ``postings`` repeats the document's token count as ``doc_terms`` so that scoring needs no
     join with ``documents``.  A stored index also has a ``bucket`` column, the hash of the
-    term modulo ``buckets``, by which its files are partitioned.
+    term modulo ``buckets``, by which its files are partitioned, and ``entries``, the terms and
+    counts of each document by its id, from which counters are taken back.
     """
 
     documents: DataFrame
     terms: DataFrame
     postings: DataFrame
     buckets: int = 0
+    entries: DataFrame | None = None
 
 
 def parse_documents(docs: DataFrame) -> DataFrame:
@@ -136,6 +138,12 @@ def document_rows(parsed: DataFrame) -> DataFrame:
     return parsed.select(*DOCUMENT_COLUMNS)
 
 
+def document_entries(parsed: DataFrame) -> DataFrame:
+    """Terms and counts of parsed documents, one row per document, without positions."""
+    counts = F.transform("entries", lambda e: F.struct(e["term"].alias("term"), e["tf"].alias("tf")))
+    return parsed.select("doc_id", counts.alias("entries"))
+
+
 def posting_rows(parsed: DataFrame) -> DataFrame:
     """The ``postings`` table of parsed documents, one row per document and term."""
     rows = parsed.select("doc_id", "total_terms", F.inline("entries"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,17 +33,46 @@ def _file_columns(raw: DataFrame) -> DataFrame:
 def read_text_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Read every file under ``path`` as one document, whatever its extension.
 
-    Files that vanish or cannot be read are skipped.  Columns: filename, filepath, seq (the
-    modification time, by which the last of several files of one name wins), text.
+    Columns: filename, filepath, seq (the modification time, by which the last of several files
+    of one name wins), text.  A file that vanishes or cannot be read has a null text, which
+    ``ingest_report`` shows as failed; to find these, the names of all files are compared with
+    the names of those that gave a text.
     """
+    names = spark.read.format("binaryFile").load(path).withColumn("value", F.lit(None).cast("string"))
+    return _with_failed(_readable(spark, path), _file_columns(names))
+
+
+def _readable(spark: SparkSession, path: str | list[str]) -> DataFrame:
     reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
     return _file_columns(reader.text(path, wholetext=True))
 
 
-def stream_text_files(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
-    """Streaming counterpart of :func:`read_text_files`."""
-    reader = spark.readStream.format("text").option("wholetext", True)
-    return _file_columns(reader.option("maxFilesPerTrigger", files_per_batch).load(path))
+def _with_failed(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """All texts, and a null one for each name without a text."""
+    return texts.unionByName(names.join(texts.select("filepath"), "filepath", "left_anti").select(*texts.columns))
+
+
+def stream_file_names(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
+    """Streaming list of the files that arrive under ``path``; their content is not read."""
+    reader = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.schema("path string, modificationTime timestamp, length bigint, content binary")
+    return reader.load(path).select("path", F.unix_micros("modificationTime").alias("seq"))
+
+
+def read_named_files(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
+    """:func:`read_text_files` for a bounded list of (path, modification time)."""
+    listed = spark.createDataFrame(files, "filepath string, seq bigint")
+    names = listed.select(
+        file_name(F.col("filepath")).alias("filename"), "filepath", "seq", F.lit(None).cast("string").alias("text")
+    )
+    files_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    there = [path for path, _ in files if (p := files_of(path)).getFileSystem(conf).exists(p)]
+    if not there:
+        return names
+    # In a path to read, these characters would be wildcards.
+    literal = [re.sub(r"([*?\[\]{}\\])", r"\\\1", path) for path in there]
+    return _with_failed(_readable(spark, literal), names)
 
 
 def table_documents(table: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,20 +1,31 @@
-"""Stored index: versioned Parquet tables with a commit log.
+"""Stored index: segments of Parquet tables and a log of write-once commits.
 
 Layout under the root folder::
 
-    commits/                         one row per finished version
-    versions/<name>/documents/
-    versions/<name>/terms/           sorted by term
-    versions/<name>/postings/bucket=<b>/   sorted by term, then document
+    commits/v<number>.json                     one file per version, never overwritten
+    documents/segment=<s>/                     documents in order of id
+    entries/segment=<s>/                       each document's terms and their counts
+    terms/segment=<s>/                         counters, or changes of counters, by term
+    replaced/segment=<s>/                      ids of earlier documents that are gone
+    postings/segment=<s>/bucket=<b>/           sorted by term, then document
 
-A version is written completely before its commit row is appended, so a reader sees either
-the old or the new one.  Nothing that is being read is ever overwritten.
+A version is a list of segments.  A batch writes its own documents, postings, counter changes
+and the ids it replaces, and nothing else; a reader adds the segments up and leaves out the
+replaced ids.  :func:`compact` writes one new segment in place of many, :func:`vacuum` removes
+segments that no kept version names.
+
+Segments are complete before their commit file appears, and that file is created only if it is
+not there: of two writers one gets the version and the other a :class:`CommitConflict`.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import asdict, dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,27 +35,57 @@ from termloom.operators.indexing import (
     TERM_COLUMNS,
     SearchIndex,
     bucket_of,
+    document_entries,
     document_rows,
     parse_corpus,
     posting_rows,
     term_rows,
 )
-from termloom.session import scratch_path
+from termloom.operators.maintenance import replaced_documents, term_deltas
+from termloom.session import broadcast_if, measured, scratch_path, settle
 
-# One posting partition per this many tokens, within the given limit.
+# One posting bucket, and one sorted part of the postings, per this many tokens.
 TOKENS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
-
-DOCUMENT_SCHEMA = (
-    "doc_id bigint, filename string, doc_key string, filepath string, snippet string, "
-    "total_terms int, doc_magnitude double, uploaded_at timestamp"
-)
-TERM_SCHEMA = "term string, df bigint, cf bigint"
-POSTING_SCHEMA = (
-    "doc_id bigint, term string, tf int, doc_terms int, positions array<int>, bucket int"
+# Replaced documents up to which their entries are looked up by literal ids.
+LITERAL_IDS = 1000
+
+SCHEMAS = {
+    "documents": (
+        "doc_id bigint, filename string, doc_key string, filepath string, snippet string, "
+        "total_terms int, doc_magnitude double, uploaded_at timestamp"
+    ),
+    "entries": "doc_id bigint, entries array<struct<term:string,tf:int>>",
+    "terms": "term string, df bigint, cf bigint",
+    "replaced": "doc_id bigint",
+    "postings": (
+        "doc_id bigint, term string, tf int, doc_terms int, positions array<int>, bucket int"
+    ),
+}
+COMMIT_SCHEMA = (
+    "version bigint, segments array<string>, buckets int, next_doc_id bigint, "
+    "stream string, batch_id bigint"
 )
 
 
+class CommitConflict(RuntimeError):
+    """Another writer has stored this version meanwhile."""
+
+
+@dataclass(frozen=True)
+class Commit:
+    """A stored version.  ``stream`` and ``batch_id`` name the stream batch that made it."""
+
+    version: int
+    segments: list[str]
+    buckets: int
+    next_doc_id: int
+    stream: str | None = None
+    batch_id: int | None = None
+
+    def __getitem__(self, key: str):
+        return getattr(self, key)
+
+
 def index_corpus(docs: DataFrame, root: str) -> SearchIndex:
     """Index ``docs`` straight into a stored index.
 
@@ -52,66 +93,213 @@ def index_corpus(docs: DataFrame, root: str) -> SearchIndex:
     documents and the postings come from it.
     """
     parsed = parse_corpus(docs)
-    postings = posting_rows(parsed)
-    return save_index(SearchIndex(document_rows(parsed), None, postings), root)
+    index = SearchIndex(document_rows(parsed), None, posting_rows(parsed), entries=document_entries(parsed))
+    return save_index(index, root)
 
 
-def save_index(index: SearchIndex, root: str, batch_id: int | None = None) -> SearchIndex:
-    """Store ``index`` as the newest version under ``root`` and return the stored copy.
+def save_index(index: SearchIndex, root: str) -> SearchIndex:
+    """Store a whole index as one segment, the newest version under ``root``, and return it.
 
     Without a terms table the dictionary is counted from the stored postings.
     """
     spark = index.documents.sparkSession
+    previous = latest_commit(spark, root)
     name = uuid.uuid4().hex
-    path = f"{root.rstrip('/')}/versions/{name}"
+    _write(index.documents.select(*DOCUMENT_COLUMNS), root, "documents", name)
+    facts = _read(spark, root, "documents", [name]).agg(
+        F.coalesce(F.sum("total_terms"), F.lit(0)), F.coalesce(F.max("doc_id") + 1, F.lit(0))
+    ).first()
+    tokens, next_doc_id = facts
+    buckets = max(1, -(-tokens // TOKENS_PER_BUCKET))
+    _write_postings(index.postings, root, name, buckets, tokens)
+
+    entries = index.entries
+    if entries is None:  # of one document, so bounded by it
+        entries = index.postings.groupBy("doc_id").agg(F.collect_list(F.struct("term", "tf")).alias("entries"))
+    _write(entries.select("doc_id", "entries"), root, "entries", name)
+    terms = index.terms
+    if terms is None:
+        terms = term_rows(_read(spark, root, "postings", [name]).select("term", "tf"))
+    _write(terms.select(*TERM_COLUMNS).repartitionByRange("term").sortWithinPartitions("term"), root, "terms", name)
+
+    last = previous.next_doc_id if previous else 0
+    commit = Commit(previous.version + 1 if previous else 1, [name], buckets, max(next_doc_id, last))
+    _store_commit(spark, root, commit)
+    return _open(spark, root, commit)
+
+
+def add_batch(
+    spark: SparkSession,
+    root: str,
+    batch: DataFrame,
+    stream: str | None = None,
+    batch_id: int | None = None,
+    attempts: int = 5,
+) -> SearchIndex:
+    """Add or replace the batch's documents in the index under ``root``.
+
+    Only the batch's own rows are written.  Columns: filename, text, seq (the order of arrival)
+    and optionally filepath; all documents get new ids.  If another writer is faster, the batch
+    is applied again to the version that writer stored.
+    """
+    for attempt in range(attempts):
+        commit = latest_commit(spark, root)
+        if commit is None:
+            raise FileNotFoundError(f"no index under {root}")
+        parsed = parse_corpus(required_columns(batch), commit.next_doc_id - 1)
+        index = _open(spark, root, commit)
+        name = uuid.uuid4().hex
+        keys = parsed.select("doc_key")
+        replaced = settle(replaced_documents(index, broadcast_if(keys, measured(keys))), "replaced")
+        _write(replaced, root, "replaced", name)
+        _write(document_rows(parsed), root, "documents", name)
+        _write(document_entries(parsed), root, "entries", name)
+        facts = parsed.agg(F.coalesce(F.sum("total_terms"), F.lit(0)), F.max("doc_id")).first()
+        _write_postings(posting_rows(parsed), root, name, commit.buckets, facts[0])
+        added = document_entries(parsed).select(F.inline("entries"))
+        removed = _entries_of(index, replaced).select(F.inline("entries"))
+        deltas = term_deltas(added, 1).unionByName(term_deltas(removed, -1))
+        summed = deltas.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+        _write(summed.filter("df <> 0 OR cf <> 0"), root, "terms", name)
+        next_doc_id = commit.next_doc_id if facts[1] is None else facts[1] + 1
+        stored = Commit(
+            commit.version + 1, [*commit.segments, name], commit.buckets, next_doc_id, stream, batch_id
+        )
+        try:
+            _store_commit(spark, root, stored)
+        except CommitConflict:
+            if attempt + 1 == attempts:
+                raise
+            continue
+        return _open(spark, root, stored)
+    raise CommitConflict(root)
+
+
+def required_columns(batch: DataFrame) -> DataFrame:
+    """The batch without ids of its own; it must say in which order its rows arrived."""
+    if "seq" not in batch.columns:
+        raise ValueError("a batch needs a column seq, the order of arrival")
+    return batch.drop("doc_id")
+
+
+def compact(spark: SparkSession, root: str) -> SearchIndex:
+    """Store the newest version anew as one segment, without replaced documents."""
+    return save_index(load_index(spark, root), root)
+
+
+def vacuum(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Delete the segments that none of the last ``keep`` versions names; returns their names.
+
+    No other writer may be at work.
+    """
+    commits = sorted(_commits(spark, root), key=lambda commit: -commit.version)
+    kept = {name for commit in commits[:keep] for name in commit.segments}
+    removed = set()
+    for table in SCHEMAS:
+        folder = _hadoop_path(spark, f"{root}/{table}")
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            continue
+        for status in files.listStatus(folder):
+            name = status.getPath().getName().removeprefix("segment=")
+            if name not in kept:
+                files.delete(status.getPath(), True)
+                removed.add(name)
+    return sorted(removed)
+
 
-    index.documents.select(*DOCUMENT_COLUMNS).write.parquet(f"{path}/documents")
-    tokens = spark.read.parquet(f"{path}/documents").agg(F.sum("total_terms")).first()[0] or 0
-    buckets = max(1, min(MAX_BUCKETS, -(-tokens // TOKENS_PER_BUCKET)))
+# Tables --------------------------------------------------------------------------------
 
-    # Range partitioning on (bucket, term, doc_id) spreads the postings of a frequent term
-    # over as many tasks as they need.
+
+def _write(df: DataFrame, root: str, table: str, segment: str) -> None:
+    df.write.parquet(f"{root.rstrip('/')}/{table}/segment={segment}")
+
+
+def _write_postings(postings: DataFrame, root: str, segment: str, buckets: int, tokens: int) -> None:
+    """Range partitioning on (bucket, term, doc_id) spreads the postings of a frequent term
+    over as many tasks as they need."""
+    spark = postings.sparkSession
     order = ["bucket", "term", "doc_id"]
-    postings = index.postings.select(*POSTING_COLUMNS)
-    postings = postings.withColumn("bucket", bucket_of(F.col("term"), buckets))
-    (
-        postings.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.partitionBy("bucket")
-        .parquet(f"{path}/postings")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // TOKENS_PER_BUCKET))
+    rows = postings.select(*POSTING_COLUMNS, bucket_of(F.col("term"), buckets).alias("bucket"))
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    rows.write.partitionBy("bucket").parquet(f"{root.rstrip('/')}/postings/segment={segment}")
+
+
+def _read(spark: SparkSession, root: str, table: str, segments: list[str]) -> DataFrame:
+    base = f"{root.rstrip('/')}/{table}"
+    paths = [f"{base}/segment={name}" for name in segments]
+    reader = spark.read.schema(f"{SCHEMAS[table]}, segment string").option("basePath", base)
+    return reader.parquet(*paths).drop("segment")
+
+
+def _open(spark: SparkSession, root: str, commit: Commit) -> SearchIndex:
+    tables = {
+        table: _read(spark, root, table, commit.segments) for table in SCHEMAS if table != "replaced"
+    }
+    later = commit.segments[1:]
+    if later:
+        # The first segment of a version replaces nothing.
+        gone = _read(spark, root, "replaced", later)
+        gone = broadcast_if(gone, measured(gone))
+        for table in ("documents", "entries", "postings"):
+            columns = tables[table].columns
+            tables[table] = tables[table].join(gone, "doc_id", "left_anti").select(*columns)
+        summed = tables["terms"].groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+        tables["terms"] = summed.filter("df > 0")
+    return SearchIndex(
+        tables["documents"], tables["terms"], tables["postings"], commit.buckets, tables["entries"]
     )
 
-    terms = index.terms
-    if terms is None:
-        stored = spark.read.schema(POSTING_SCHEMA).parquet(f"{path}/postings")
-        terms = term_rows(stored.select("term", "tf"))
-    terms = terms.select(*TERM_COLUMNS)
-    terms.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
 
-    previous = latest_commit(spark, root)
-    commit = spark.range(1).select(
-        F.lit(previous["version"] + 1 if previous else 1).cast("bigint").alias("version"),
-        F.lit(name).alias("name"),
-        F.lit(buckets).cast("int").alias("buckets"),
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-    )
-    commit.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/commits")
-    return _open(spark, root, name, buckets)
+def _entries_of(index: SearchIndex, ids: DataFrame) -> DataFrame:
+    """Entries of some documents; few ids are pushed down, so that files are skipped by them."""
+    few = [row[0] for row in ids.limit(LITERAL_IDS + 1).collect()]
+    if len(few) <= LITERAL_IDS:
+        return index.entries.filter(F.col("doc_id").isin(few))
+    return index.entries.join(broadcast_if(ids, measured(ids)), "doc_id", "left_semi")
+
+
+# Commits -------------------------------------------------------------------------------
 
 
-def latest_commit(spark: SparkSession, root: str):
-    """Newest commit row (version, name, buckets, batch_id), or None."""
-    path = f"{root.rstrip('/')}/commits"
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _store_commit(spark: SparkSession, root: str, commit: Commit) -> None:
+    path = _hadoop_path(spark, f"{root.rstrip('/')}/commits/v{commit.version:012d}.json")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        commits = spark.read.schema(
-            "version bigint, name string, buckets int, batch_id bigint"
-        ).parquet(path)
-    except Exception as error:  # the folder does not exist yet
-        if "PATH_NOT_FOUND" in str(error):
-            return None
+        out = files.create(path, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            raise CommitConflict(f"version {commit.version} of {root}") from error
         raise
-    newest = F.max(F.struct("version", "name", "buckets", "batch_id")).alias("newest")
-    return commits.agg(newest).first()["newest"]
+    out.write(bytearray(json.dumps(asdict(commit)).encode()))
+    out.close()
+
+
+def _commits(spark: SparkSession, root: str) -> list[Commit]:
+    """All versions; one small file each."""
+    try:
+        rows = spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/commits").collect()
+    except AnalysisException as error:  # the folder does not exist yet
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return [Commit(**row.asDict()) for row in rows if row["version"] is not None]
+
+
+def latest_commit(spark: SparkSession, root: str) -> Commit | None:
+    """The newest version, or None."""
+    return max(_commits(spark, root), key=lambda commit: commit.version, default=None)
+
+
+def last_batch(spark: SparkSession, root: str, stream: str) -> int:
+    """Number of the last batch that a stream has stored, -1 before the first."""
+    own = (c.batch_id for c in _commits(spark, root) if c.stream == stream and c.batch_id is not None)
+    return max(own, default=-1)
 
 
 def load_index(spark: SparkSession, root: str) -> SearchIndex:
@@ -119,17 +307,7 @@ def load_index(spark: SparkSession, root: str) -> SearchIndex:
     commit = latest_commit(spark, root)
     if commit is None:
         raise FileNotFoundError(f"no index under {root}")
-    return _open(spark, root, commit["name"], commit["buckets"])
-
-
-def _open(spark: SparkSession, root: str, name: str, buckets: int) -> SearchIndex:
-    path = f"{root.rstrip('/')}/versions/{name}"
-    return SearchIndex(
-        spark.read.schema(DOCUMENT_SCHEMA).parquet(f"{path}/documents"),
-        spark.read.schema(TERM_SCHEMA).parquet(f"{path}/terms"),
-        spark.read.schema(POSTING_SCHEMA).parquet(f"{path}/postings"),
-        buckets,
-    )
+    return _open(spark, root, commit)
 
 
 def source_fingerprint(spark: SparkSession, path: str) -> str:

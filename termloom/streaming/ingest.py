@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from termloom.operators.maintenance import upsert
-from termloom.sources.corpus import stream_text_files
-from termloom.sources.index_store import index_corpus, latest_commit, load_index, save_index
+from termloom.operators.maintenance import ingest_report
+from termloom.session import settle
+from termloom.sources.corpus import read_named_files, stream_file_names
+from termloom.sources.index_store import add_batch, index_corpus, last_batch, latest_commit, load_index
 
 
 def ingest_stream(
@@ -16,25 +19,39 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start a query that indexes the files under ``inbox`` and ends when all are processed.
 
-    Each micro-batch becomes one index version under ``root``.  The commit log remembers the
-    batch, so a batch repeated after a failure is not applied twice.  ``progress`` is the
-    query's checkpoint folder.
+    Each micro-batch becomes one segment of the index under ``root``, and a report of its files,
+    unreadable ones included, is added to the table ``reports`` there.  Commits remember stream
+    and batch, so a batch repeated after a failure is not applied twice, and other streams into
+    the same root do not matter.  ``progress`` is the query's checkpoint folder.
     """
-    files = stream_text_files(spark, inbox, files_per_batch)
+    names = stream_file_names(spark, inbox, files_per_batch)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        commit = latest_commit(batch.sparkSession, root)
-        if commit and commit["batch_id"] is not None and commit["batch_id"] >= batch_id:
+        session = batch.sparkSession
+        stream = stream_identity(session, progress)
+        if last_batch(session, root, stream) >= batch_id:
             return
-        if commit is None:
-            empty = batch.limit(0).select("filename", "filepath", "text")
+        files = [(row["path"], row["seq"]) for row in batch.collect()]  # at most files_per_batch
+        docs = settle(read_named_files(session, files), "arrived")
+        if latest_commit(session, root) is None:
+            empty = docs.limit(0).select("filename", "filepath", "text")
             index_corpus(empty.withColumn("doc_id", F.lit(0).cast("bigint")), root)
-        index = load_index(batch.sparkSession, root)
-        save_index(upsert(index, batch), root, batch_id)
+        report = ingest_report(load_index(session, root), docs).select(
+            F.lit(stream).alias("stream"), F.lit(batch_id).alias("batch_id"), "*"
+        )
+        report = settle(report, "report")  # as of the version before the batch
+        add_batch(session, root, docs, stream, batch_id)
+        report.write.mode("append").parquet(f"{root.rstrip('/')}/reports")
 
     return (
-        files.writeStream.foreachBatch(apply)
+        names.writeStream.foreachBatch(apply)
         .option("checkpointLocation", progress)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_identity(spark: SparkSession, progress: str) -> str:
+    """The id that Spark gave the query with this checkpoint folder; a new folder has a new one."""
+    stored = spark.read.text(f"{progress.rstrip('/')}/metadata").first()["value"]
+    return json.loads(stored)["id"]

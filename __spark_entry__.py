@@ -327,8 +327,10 @@ def q_query_log_split_words(spark, sf_dir):
 
 
 def q_query_log_scoring_terms(spark, sf_dir):
-    log = _phrase_log(spark, sf_dir).unionByName(_conversation_log(spark, sf_dir))
-    return scoring_terms(parse_query_log(log))
+    # Each log numbers its own queries, so they are parsed apart.
+    logs = _phrase_log(spark, sf_dir), _conversation_log(spark, sf_dir)
+    phrases, turns = (scoring_terms(parse_query_log(log)) for log in logs)
+    return phrases.unionByName(turns)
 
 
 def q_query_log_status(spark, sf_dir):

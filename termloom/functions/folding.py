@@ -1,56 +1,41 @@
-"""Latin-to-ASCII folding table, built from Unicode data plus a short list of fixed values.
+"""Folding of letters to ASCII, taken from the Unicode transliterator that ships with Spark.
 
-Most accented letters follow one rule: take the compatibility decomposition and keep the
-base letters.  The characters that do not decompose are listed by hand.  Scripts other than
-Latin are not folded; the token rules then delete them.
+The rule is "to Latin, to ASCII, to lower case", applied to single characters.  The table is
+made once, on the driver, for the blocks below, and travels as literals of the plan; characters
+that it lacks are deleted by the token rules.
 """
 
 from __future__ import annotations
 
 import re
-import unicodedata
-
-# Blocks the decomposition rule is applied to (first and last code point, inclusive).
-_LATIN_BLOCKS = (
-    (0x00C0, 0x024F),  # Latin-1 letters, Extended-A, Extended-B
-    (0x1E00, 0x1EFF),  # Extended Additional
+from functools import lru_cache
+
+from pyspark import SparkContext
+
+# Fixed value: the transliteration rule.
+RULE = "Any-Latin; Latin-ASCII; Lower()"
+
+# First and last code point of the covered blocks.
+BLOCKS = (
+    (0x00A0, 0x052F),  # Latin, phonetic letters, Greek, Cyrillic
+    (0x0531, 0x05F4),  # Armenian, Hebrew
+    (0x10A0, 0x10FF),  # Georgian
+    (0x1D00, 0x1DBF),  # phonetic extensions
+    (0x1E00, 0x1FFF),  # Latin and Greek, additional
+    (0x2000, 0x218F),  # blanks, letterlike signs, Roman numerals, fractions
+    (0x2C60, 0x2C7F),  # Latin Extended-C
+    (0x3000, 0x3000),
+    (0xA720, 0xA7FF),  # Latin Extended-D
     (0xFB00, 0xFB06),  # ligatures
-    (0xFF41, 0xFF5A),  # full-width small letters
-)
-
-# Folding of the lower-case characters that have no decomposition.
-_UNDECOMPOSED = {
-    "ß": "ss", "æ": "ae", "ð": "d", "ø": "o", "þ": "th",
-    "đ": "d", "ħ": "h", "ı": "i", "ĸ": "q", "ł": "l", "ŋ": "n", "œ": "oe", "ŧ": "t",
-    "ƀ": "b", "ƃ": "b", "ƈ": "c", "ƌ": "d", "ƒ": "f", "ƕ": "hv", "ƙ": "k", "ƚ": "l",
-    "ƞ": "n", "ƣ": "oi", "ƥ": "p", "ƫ": "t", "ƭ": "t", "ƴ": "y", "ƶ": "z",
-    "ǣ": "ae", "ǥ": "g", "ǽ": "ae", "ǿ": "o", "ȡ": "d", "ȥ": "z", "ȴ": "l", "ȵ": "n",
-    "ȶ": "t", "ȷ": "j", "ȸ": "db", "ȹ": "qp", "ȼ": "c", "ȿ": "s", "ɀ": "z",
-    "ɇ": "e", "ɉ": "j", "ɍ": "r", "ɏ": "y",
-    "ɓ": "b", "ɖ": "d", "ɗ": "d", "ɛ": "e", "ɠ": "g", "ɨ": "i", "ɲ": "n", "ʈ": "t",
-    "ʉ": "u", "ʋ": "v", "ⱥ": "a", "ⱦ": "t", "ẜ": "s", "ẝ": "s", "ỻ": "ll", "ỽ": "v", "ỿ": "y",
-    "©": "c", "®": "r", "₠": "ce", "₢": "cr", "₣": "fr", "₤": "l", "₧": "pts",
-    "₹": "rs", "₺": "tl", "℗": "p", "℘": "p", "℞": "rx",
-}
-
-# Characters that become a blank and therefore separate words.
-_BLANKS = (
-    "              　"
-    "¼½¾⅐⅑⅒⅓⅔⅕⅖⅗⅘⅙⅚⅛⅜⅝⅞⅟↉"
+    (0xFF21, 0xFF5A),  # full-width letters
 )
 
 
+@lru_cache(maxsize=1)
 def folding_table() -> dict[str, str]:
-    """Map each foldable lower-case character to its ASCII spelling."""
-    table = {}
-    for first, last in _LATIN_BLOCKS:
-        for code in range(first, last + 1):
-            char = chr(code)
-            if char != char.lower():
-                continue
-            base = re.sub("[^a-z]", "", unicodedata.normalize("NFKD", char).lower())
-            if base:
-                table[char] = base
-    table.update(_UNDECOMPOSED)
-    table.update(dict.fromkeys(_BLANKS, " "))
-    return table
+    """Map each foldable character to letters a-z and blanks.  Needs a running session."""
+    characters = [chr(code) for first, last in BLOCKS for code in range(first, last + 1)]
+    rule = SparkContext._active_spark_context._jvm.com.ibm.icu.text.Transliterator.getInstance(RULE)
+    folded = rule.transliterate("\n".join(characters)).split("\n")
+    bases = (re.sub("[^a-z ]", "", spelling) for spelling in folded)
+    return {char: base for char, base in zip(characters, bases, strict=True) if base}

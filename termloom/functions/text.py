@@ -25,24 +25,24 @@ SNIPPET_LENGTH = 250
 # The white-space characters, spelled out because regex dialects disagree about ``\s``.
 BLANK_CHARS = r" \t\n\x0B\f\r"
 
-_FOLDING = folding_table()
-_ONE_TO_ONE = {char: base for char, base in _FOLDING.items() if len(base) == 1}
-_ONE_TO_MANY = {char: base for char, base in _FOLDING.items() if len(base) > 1}
-
 
 def fold_text(text: Column) -> Column:
-    """Lower-case ``text`` and spell accented Latin letters in ASCII.
+    """Spell letters of other alphabets, and accented ones, in ASCII, and lower all.
 
-    Pure ASCII rows, recognised by their byte length, skip the character lookups.
+    Pure ASCII rows, recognised by their byte length, skip the character lookups, and only rows
+    with a character that becomes several letters are searched for these.
     """
-    lowered = F.lower(text)
-    spelled = lowered
-    for char, base in _ONE_TO_MANY.items():
-        spelled = F.replace(spelled, F.lit(char), F.lit(base))
-    # Few texts hold any of these; the others are spared all the passes.
-    spelled = F.when(lowered.rlike(f"[{''.join(_ONE_TO_MANY)}]"), spelled).otherwise(lowered)
-    folded = F.translate(spelled, "".join(_ONE_TO_ONE), "".join(_ONE_TO_ONE.values()))
-    return F.when(F.octet_length(text) == F.char_length(text), lowered).otherwise(folded)
+    table = folding_table()
+    many = {char: base for char, base in table.items() if len(base) > 1}
+    one = {char: base for char, base in table.items() if len(base) == 1}
+    # All characters of one spelling become the first of them, which is then spelled out.
+    first = {base: char for char, base in reversed(many.items())}
+    apart = F.translate(text, "".join(many), "".join(first[base] for base in many.values()))
+    for base, char in first.items():
+        apart = F.replace(apart, F.lit(char), F.lit(base))
+    spelled = F.when(text.rlike(f"[{''.join(many)}]"), apart).otherwise(text)
+    folded = F.translate(spelled, "".join(one), "".join(one.values()))
+    return F.lower(F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded))
 
 
 def keep_letters(text: Column) -> Column:

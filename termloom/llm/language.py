@@ -25,6 +25,7 @@ FEATURES = 2048
 SAMPLE_PER_LANGUAGE = 400
 SAMPLE_ROWS = 2000
 MOST_LANGUAGES = 500
+SLICES = 32  # of a language, when its sample is chosen
 # Characters counted at once.
 BLOCK_CHARS = 1 << 18
 
@@ -174,10 +175,14 @@ def learn_languages(
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     most = min(per_language, sample_rows // max(1, len(languages)))
-    # Only the best of each task are moved, without their texts.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "version")
-    distinct = labelled.select("lang", "doc_id", "version")
-    chosen = distinct.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+    # Only the best of each task are moved, without their texts, and first within slices of a
+    # language, so that what one task ranks does not grow with the number of tasks.
+    chosen = labelled.select("lang", "doc_id", "version").withColumn(
+        "slice", F.pmod(F.xxhash64("version", "doc_id"), F.lit(SLICES))
+    )
+    for group in (["lang", "slice"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id", "version")
+        chosen = chosen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
     # At most ``sample_rows`` keys: small enough to send to every task.
     keys = F.broadcast(chosen.select("lang", "doc_id", "version").distinct())
     sample = labelled.join(keys, ["lang", "doc_id", "version"]).dropDuplicates(["lang", "doc_id", "version"])

@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.llm.bpe import encode_documents
+from termloom.llm.codebooks import compress_vectors
 from termloom.llm.counting import count_tokens
+from termloom.llm.divergence import audit_sources
 from termloom.llm.language import held_out, identify_languages, learn_languages
 from termloom.llm.multiset import as_text, fingerprint_edits, likeness
 from termloom.llm.packing import pack_documents
+from termloom.llm.personal import BASE_KINDS, PERSONAL_KINDS, find_personal
 from termloom.llm.planes import document_checksums, write_token_files
 from termloom.llm.secret_scan import KINDS, scan_secrets
 from termloom.llm.simhash import near_duplicates
@@ -41,6 +44,48 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+DIVERGENCE_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+),
+tok AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+),
+kept AS (
+    SELECT lang, term, count(*) AS n FROM tok GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+cells AS (SELECT lang, source, term, count(*) AS n FROM tok SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY ALL),
+matrix AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(t.total, 0) + 2 * s.v) AS p,
+           1 + (1000000000::HUGEINT * (k.n + 2)) // (s.total + 2 * s.v) AS q
+    FROM (SELECT DISTINCT lang, source FROM d) g
+    JOIN kept k USING (lang) JOIN sizes s USING (lang)
+    LEFT JOIN cells c USING (lang, source, term) LEFT JOIN totals t USING (lang, source)
+),
+found AS (
+    SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(x.value, 0)::BIGINT AS value
+    FROM (SELECT DISTINCT lang, source FROM d) g
+    JOIN (SELECT DISTINCT lang, source FROM d) h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+        FROM matrix a JOIN matrix b USING (lang, term) GROUP BY ALL
+    ) x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM matrix WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+    FROM found
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
@@ -136,6 +181,34 @@ def op10_bit_plane_files(spark, sf_dir):
     return document_checksums(spark, path)
 
 
+def op11_contextual_pii(spark, sf_dir):
+    found = find_personal(_table(spark, sf_dir, "documents"))
+    kinds = F.array(*map(F.lit, PERSONAL_KINDS))
+
+    def joined(spans):
+        text = F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"]))
+        return F.array_join(text, ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("spans", lambda s: s["kind"] < BASE_KINDS)
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{name}") for kind, name in enumerate(PERSONAL_KINDS[:BASE_KINDS])),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op12_walsh_codes(spark, sf_dir):
+    return compress_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark, sf_dir):
+    return audit_sources(_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict:
     """All queries of this package by name."""
     return {name: run for name, run in globals().items() if name.startswith("op")}
@@ -143,4 +216,4 @@ def llm_queries() -> dict:
 
 def llm_oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op7_kd_tree_top_k": TOP_K_SQL}
+    return {"op7_kd_tree_top_k": TOP_K_SQL, "op13_source_divergence": DIVERGENCE_SQL}

@@ -14,8 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from termloom.session import BROADCAST_BYTES, measured, settle
+
 Columns = list
 
+# A key is hot from this share of all rows on, so there are at most this many hot keys.
+HOT_KEYS = 1000
+
 
 def arrow_map(
     df: DataFrame, schema: pa.Schema, make: Callable[[Iterator[pa.RecordBatch]], Iterator[Columns]]
@@ -90,6 +95,32 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the other columns of ``table``, which has one row for each of their keys.
+
+    Null keys are equal.  A table of proven size is broadcast.  Otherwise only the rows of hot
+    keys meet a broadcast part of it, at most HOT_KEYS rows whatever the data, and all others a
+    shuffled one, so that no task gets all rows of a hot key.
+    """
+    taken = [column for column in table.columns if column not in keys]
+
+    def joined(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+        names = {key: f"_k{place}" for place, key in enumerate(keys)}
+        right = right.withColumnsRenamed(names)
+        same = [left[key].eqNullSafe(right[name]) for key, name in names.items()]
+        out = left.join(right, same, how)
+        return out if how == "left_anti" else out.select(*(left[c] for c in left.columns), *taken)
+
+    size = measured(table)
+    if size.rows * 16 * (len(table.columns) + 1) + size.text_bytes <= BROADCAST_BYTES:
+        return joined(rows, F.broadcast(table))
+    counts = settle(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "key-counts")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    hot = F.broadcast(counts.filter(F.col("_n") * HOT_KEYS > total).select(*keys))
+    few = settle(table.join(hot, [table[key].eqNullSafe(hot[key]) for key in keys], "left_semi"), "hot")
+    return joined(rows, F.broadcast(few)).unionByName(joined(joined(rows, hot, "left_anti"), table))
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """``base ** 0 .. base ** (n - 1)`` modulo 2 ** 64."""
     steps = np.full(n, base, dtype=np.uint64)

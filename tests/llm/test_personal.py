@@ -1,0 +1,148 @@
+import random
+import re
+
+import brute
+import pytest
+from messy_texts import messy_texts
+from pyspark.sql import functions as F
+from termloom.llm.personal import CONTEXT, find_personal
+from termloom.llm.queries import llm_queries
+
+
+def luhn(digits):
+    total = 0
+    for place, digit in enumerate(map(int, reversed(digits))):
+        total += digit if place % 2 == 0 else digit * 2 - 9 * (digit > 4)
+    return total % 10 == 0
+
+
+def base_spans(text):
+    """(start, kind, end) of the plain patterns."""
+    spans = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        spans.append((m.start(), 0, m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(part) <= 255 for part in m[0].split(".")):
+            spans.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(digits) <= 19 and luhn(digits):
+            spans.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            spans.append((m.start(), 3, m.end()))
+    return sorted(spans)
+
+
+def digest(spans, kinds=("email", "ip", "card", "phone")):
+    return brute.sha(",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in spans))
+
+
+def random_texts(n):
+    draw = random.Random(11)
+    atoms = [
+        "a", "b.c", "@", "x@y.z", ".", "+", "-", " ", "(", ")", "1", "12", "255", "256", "0004", "1.2.3.4", "é", "ß@",
+        "4111111111111111", "4111-1111 1111 1111", "+1 (017) 555-7713", "+49", "\n", "%", "_", "😀", "00000000000000",
+    ]
+    return ["".join(draw.choices(atoms, k=draw.randint(0, 40))) for _ in range(n)]
+
+
+def test_base_spans_of_random_texts(spark):
+    texts = random_texts(2000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: [tuple(s) for s in r.spans if s.kind < CONTEXT] for r in find_personal(docs).collect()}
+    assert got == {i: base_spans(text) for i, text in enumerate(texts)}
+    assert all(any(s[1] == kind for spans in got.values() for s in spans) for kind in range(4))
+
+
+def test_messy_texts(messy, no_docs):
+    got = find_personal(messy.withColumn("row", F.lit(1)).withColumn("value", F.lit("v"))).collect()
+    assert len(got) == len(messy_texts())
+    for row in got:
+        assert row.spans is not None
+    want = sorted((-1 if i is None else i, base_spans(t or "")) for i, t, _, _ in messy_texts())
+    assert sorted((-1 if r.doc_id is None else r.doc_id, [tuple(s) for s in r.spans if s.kind < CONTEXT]) for r in got) == want
+    assert find_personal(no_docs).count() == 0
+
+
+def test_long_runs_take_linear_time(spark):
+    texts = ["a" * 300_000, "1" * 300_000, "a.b" * 100_000, "+1" + " (" * 150_000, "x@" + "a." * 150_000 + "!", "@" * 300_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in find_personal(docs).collect()}
+    assert [(i, len(got[i])) for i in range(6)] == [(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 0)]
+
+
+# The method ----------------------------------------------------------------------------
+
+BADGES = ["QX-204981", "QX-778120", "QX-551093"]
+
+
+def planted():
+    """Mail addresses after "write to", and badges of a form of their own that stand there too."""
+    lines = [f"you may write to user{i}@host{i}.org for help" for i in range(9)]
+    lines += [f"you may write to {badge} for help" for badge in BADGES[:2]]
+    # A badge known from elsewhere, and numbers in contexts that have no seeds.
+    lines += [f"seen {BADGES[0]} at the door", f"lost {BADGES[2]} at the door", "part no 1234567 in stock", "part no 7654321 in stock"]
+    return list(enumerate(lines))
+
+
+def test_trusted_patterns_discover_unseen_values(spark):
+    docs = spark.createDataFrame(planted(), "doc_id bigint, text string").repartition(3)
+    found = {}
+    texts = dict(planted())
+    for row in find_personal(docs, trusted=700).collect():
+        for span in row.spans:
+            found.setdefault(row.doc_id, []).append((texts[row.doc_id][span.start : span.end], span.kind))
+    assert [found[i][0][1] for i in range(9)] == [0] * 9
+    # Nine seeds of eleven values in the pattern; the value is reported where it stands alone too.
+    assert found[9] == [(BADGES[0], CONTEXT)] and found[10] == [(BADGES[1], CONTEXT)] and found[11] == [(BADGES[0], CONTEXT)]
+    assert not {12, 13, 14} & set(found)
+    # The pattern holds 9 / 11 seeds, which a higher bar rejects.
+    strict = find_personal(docs, trusted=900).select(F.explode("spans").alias("s")).filter(F.col("s.kind") == CONTEXT)
+    assert strict.count() == 0
+
+
+def test_finds_support_further_patterns(spark):
+    rows = [f"write to u{i}@host{i}.org now" for i in range(20)]
+    rows += [f"write to QX-10000{i} now" for i in range(4)]
+    # These values are then what makes "badge of" trusted, in the next round only.
+    rows += [f"badge of QX-10000{i} here" for i in range(4)] + ["badge of ZZ-900001 here"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+
+    def discovered(rounds):
+        found = find_personal(docs, trusted=600, rounds=rounds).filter(F.exists("spans", lambda s: s["kind"] == CONTEXT))
+        return {r.doc_id for r in found.collect()}
+
+    assert discovered(1) == set(range(20, 28))
+    assert discovered(4) == set(range(20, 29))
+
+
+def test_finds_do_not_overlap_base_spans(spark):
+    rows = [f"call +1 (017) 555-77{i} now" for i in range(10, 30)] + ["call +1 (017) 555-7733 now", "call 555-1234567 now"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    for row in find_personal(docs).collect():
+        spans = [tuple(s) for s in row.spans]
+        assert all(a[2] <= b[0] for a, b in zip(spans, spans[1:]))
+    last = find_personal(docs).filter("doc_id = 21").first().spans
+    assert [tuple(s) for s in last] == [(5, CONTEXT, 16)]
+
+
+def test_plan_is_native(spark):
+    docs = spark.createDataFrame(planted(), "doc_id bigint, text string")
+    plan = find_personal(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("sf", ["sf0.001"])
+def test_registered_query(spark, sf):
+    path = f"/root/testdata/{sf}"
+    docs = spark.read.parquet(f"{path}/documents.parquet").collect()
+    got = {r.doc_id: r for r in llm_queries()["op11_contextual_pii"](spark, path).collect()}
+    assert len(got) == len(docs)
+    for doc in docs:
+        spans, row = base_spans(doc.text or ""), got[doc.doc_id]
+        counts = [sum(s[1] == kind for s in spans) for kind in range(4)]
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == counts
+        assert row.base_sha256 == digest(spans)
+        base = [s for s in row.spans.split(",") if s and not s.startswith("context")]
+        assert brute.sha(",".join(base)) == row.base_sha256

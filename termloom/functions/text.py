@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from termloom.functions.folding import folding_table
+from termloom.functions.folding import fold_letters
 
 # The stopwords, compared after folding.
 STOPWORDS = (
@@ -27,22 +27,8 @@ BLANK_CHARS = r" \t\n\x0B\f\r"
 
 
 def fold_text(text: Column) -> Column:
-    """Spell letters of other alphabets, and accented ones, in ASCII, and lower all.
-
-    Pure ASCII rows, recognised by their byte length, skip the character lookups, and only rows
-    with a character that becomes several letters are searched for these.
-    """
-    table = folding_table()
-    many = {char: base for char, base in table.items() if len(base) > 1}
-    one = {char: base for char, base in table.items() if len(base) == 1}
-    # All characters of one spelling become the first of them, which is then spelled out.
-    first = {base: char for char, base in reversed(many.items())}
-    apart = F.translate(text, "".join(many), "".join(first[base] for base in many.values()))
-    for base, char in first.items():
-        apart = F.replace(apart, F.lit(char), F.lit(base))
-    spelled = F.when(text.rlike(f"[{''.join(many)}]"), apart).otherwise(text)
-    folded = F.translate(spelled, "".join(one), "".join(one.values()))
-    return F.lower(F.when(F.octet_length(text) == F.char_length(text), text).otherwise(folded))
+    """Spell letters of other alphabets, and accented ones, in ASCII, and lower all."""
+    return F.lower(fold_letters(text))
 
 
 def keep_letters(text: Column) -> Column:

@@ -3,15 +3,18 @@
 Every stage gets (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next one's ``docs``.  All but the last return the columns of ``documents``.
 
-- language_id: documents without a letter, or whose language is not decided, go.
-- simhash_near_dedup: of linked documents the one with the smallest id stays.
+- language_id: documents without a letter, or in an alphabet that no learned language uses, go;
+  if no document has a label to learn from, all stay.
+- simhash_near_dedup: of linked documents the one with the smallest id stays; of several rows
+  with this id and linked texts the one with the smallest hash of its text.
 - substring_dedup: words of passages that start in an earlier document too are cut out;
   documents that lose every word go.
 - secret_scan: secrets that are no widely copied example are blanked out.
 - best_fit_packing: the texts that are left are packed into sequences.
 
 Rows without an id are kept by the near-duplicate stage, for they cannot be named; of repeated
-rows with an id one stays.  Empty tables pass through.
+rows with an id one stays, of rows of one id with unlike texts one of each.  Empty tables pass
+through.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from termloom.llm.language import keep_determined, learn_languages
 from termloom.llm.packing import pack_documents
 from termloom.llm.secret_scan import redact_secrets
-from termloom.llm.simhash import near_duplicates
+from termloom.llm.simhash import keep_one
 from termloom.llm.substrings import drop_repeats
 from termloom.llm.support import ship_package
 from termloom.session import settle
@@ -38,10 +41,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    found = near_duplicates(docs)
-    kept = found.filter("doc_id = component_id").select(found["doc_id"].alias("_kept")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(docs["doc_id"].isNull()))
+    return keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,10 +19,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.support import arrow_map, rows_map, texts_of
+from termloom.llm.support import arrow_map, lookup, rows_map, texts_of, unused
 from termloom.session import settle
 
 MAX_BITS = 2
@@ -60,15 +60,19 @@ def fingerprints(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(doc_id, fingerprint) of every text; a null text has no words."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64())])
+    """(doc_id, version, fingerprint) of every text; a null text has no words.
+
+    ``version`` is a hash of the text, which tells rows of one id apart.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("fingerprint", pa.int64())])
 
     def make(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for doc_id, text in rows:
+        for doc_id, version, text in rows:
             value = simhash(text or "", shingle_words)
-            yield doc_id, value - (1 << 64) if value >> 63 else value
+            yield doc_id, version, value - (1 << 64) if value >> 63 else value
 
-    return rows_map(texts_of(docs, id_column, text_column), schema, make)
+    texts = texts_of(docs, id_column, text_column)
+    return rows_map(texts.select("doc_id", F.xxhash64("text"), "text"), schema, make)
 
 
 def near_duplicates(
@@ -84,7 +88,8 @@ def near_duplicates(
     and so a component; rows without an id are linked like others but name no component unless
     it has no other row, when it is null.  An empty table gives no rows.
 
-    Returns doc_id, fingerprint (bigint) and component_id.
+    Returns doc_id, version (a hash of the text), fingerprint (bigint), component_id and
+    component (a fingerprint that names the component, as two of them may share a smallest id).
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("codewords are shared by words at most two bits apart")
@@ -94,11 +99,33 @@ def near_duplicates(
     members = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     named = members.join(nodes, F.col("node") == F.col("fingerprint")).select("node", "root", "first")
     smallest = named.groupBy("root").agg(F.min("first").alias("smallest"))
-    linked = named.select("node", "root").join(smallest, "root").select("node", "smallest")
+    linked = named.select("node", "root").join(smallest, "root").select("node", "root", "smallest")
     component = nodes.join(linked, F.col("node") == F.col("fingerprint"), "left").select(
-        "fingerprint", F.coalesce("smallest", "first").alias("component_id")
+        "fingerprint",
+        F.coalesce("smallest", "first").alias("component_id"),
+        F.coalesce("root", "fingerprint").alias("component"),
     )
-    return prints.join(component, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return lookup(prints, settle(component, "component"), ["fingerprint"])
+
+
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` (doc_id, text and any others) with one row of every component of near duplicates.
+
+    The row with the smallest id stays, of several with this id the one with the smallest hash
+    of its text, then with the smallest other columns.  Rows of one id whose texts are unlike are
+    in different components, so each of them has its say.  Rows without an id cannot be named
+    and all stay.  An empty table stays empty.
+    """
+    found = settle(near_duplicates(docs, shingle_words, max_bits).filter("doc_id IS NOT NULL"), "components")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "version")).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("_id"), F.col("first.version").alias("_version")).distinct()
+    version = F.xxhash64(docs["text"])
+    named = docs.join(first, (docs["doc_id"] == first["_id"]) & (version == first["_version"]), "left_semi")
+    place = unused(docs, "_place")
+    others = [F.col(name) for name, kind in docs.dtypes if name not in ("doc_id", "text") and "map<" not in kind]
+    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(*(others or [F.lit(0)]))
+    one = named.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).drop(place)
+    return one.unionByName(docs.filter(docs["doc_id"].isNull()))
 
 
 def links(nodes: DataFrame, max_bits: int) -> DataFrame:

@@ -10,7 +10,7 @@ from termloom.llm.language import UNDETERMINED, held_out, identify_languages, ke
 from termloom.llm.multiset import as_text, combined, fingerprint_edits, likeness, with_fingerprint
 from termloom.llm.queries import llm_oracle_sql, llm_queries
 from termloom.llm.secret_scan import KINDS, redact_secrets, scan_secrets
-from termloom.llm.simhash import components, golay_keys, links, near_duplicates
+from termloom.llm.simhash import components, golay_keys, keep_one, links, near_duplicates
 from termloom.llm.substrings import drop_repeats, remove_repeats
 from termloom.llm.vectors import top_k
 
@@ -232,5 +232,50 @@ def test_languages_of_messy_texts(messy, no_docs):
     kept = keep_determined(messy, model)
     assert kept.schema == messy.schema
     assert not {4, 5, 6, 14} & {r.doc_id for r in kept.collect()}
+    assert keep_determined(no_docs, model).count() == 0
     nothing = learn_languages(no_docs)
     assert {r.lang_pred for r in identify_languages(messy, nothing).collect()} == {UNDETERMINED}
+
+
+def test_rows_stay_if_no_language_was_learned(messy):
+    unlabelled = messy.withColumn("lang", F.lit(None).cast("string"))
+    kept = keep_determined(unlabelled, learn_languages(unlabelled))
+    assert kept.count() == len(messy_texts())
+
+
+def test_unknown_alphabets_are_rejected_and_known_ones_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = learn_languages(docs)
+    assert keep_determined(docs, model).count() == docs.count()
+    strange = spark.createDataFrame([(i, "".join(map(chr, range(0x4E00 + i, 0x4E50 + i)))) for i in range(50)], "doc_id bigint, text string")
+    assert keep_determined(strange, model).count() == 0
+
+
+def test_any_number_of_languages(spark):
+    draw = random.Random(2)
+    rows = []
+    for n in range(600):
+        letters = draw.sample("abcdefghijklmnopqrstuvwxyz", 6)
+        rows += [(2 * n + k, " ".join("".join(draw.choices(letters, k=5)) for _ in range(40)), f"x{n}") for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = learn_languages(docs, sample_rows=1200)
+    found = {r.doc_id: r.lang_pred for r in identify_languages(docs, model).collect()}
+    learned = set(model.families.classes)
+    assert len(learned) > 500
+    assert sum(found[i] == lang for i, _, lang in rows) > 0.5 * len(rows)
+    # With fewer rows than languages the most frequent ones are learned.
+    few = learn_languages(docs.filter("doc_id < 40").unionByName(docs.filter("lang = 'x7'")), sample_rows=3)
+    assert "x7" in few.families.classes and len(few.families.classes) <= 3
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_texts_of_one_id_are_each_kept_or_dropped(spark, turn):
+    draw = random.Random(9)
+    a, b = (" ".join("".join(draw.choices("abcdefgh", k=5)) for _ in range(60)) for _ in range(2))
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (6, b, "y"), (5, b, "z"), (2, a + " tail", "x")][::turn]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, other string").coalesce(1)
+    kept = sorted((r.doc_id, r.text, r.other) for r in keep_one(docs, max_bits=0).collect())
+    want = [(1, a, "x"), (5, b, "x")]
+    if brute.simhash(a) != brute.simhash(a + " tail"):
+        want.append((2, a + " tail", "x"))
+    assert kept == sorted(want)

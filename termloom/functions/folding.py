@@ -27,7 +27,7 @@ RANGES = ((0x80, 0x9FFF), (0xF900, 0xFFEF))
 HANGUL = (0xAC00, 0xD7A3)
 _MEDIALS, _FINALS = 21, 28
 
-_CALL = 200  # characters spelled by one call
+_CALL = 1000  # characters spelled by one call
 WIDTH = 8  # letters and marks of a table entry
 
 # Marks; each pair meets where the first character stands directly before the second.
@@ -132,10 +132,9 @@ def _marked(spell: Callable, alone: dict[str, str]) -> dict[str, str]:
 
     for sign in _SMALL_TSU:
         marked[sign] = DOUBLES + "tsu"
-    han = [c for c in alone if 0x3400 <= ord(c) <= 0x9FFF or 0xF900 <= ord(c) <= 0xFAFF]
-    for _, sign, got in pairs("x", han):
-        if alone[sign] and got == f"x {alone[sign]}":
-            marked[sign] = SPACED + alone[sign]
+    if spell(["x北"]) == ["x bei"]:
+        ideographs = [*range(0x3400, 0xA000), *range(0xF900, 0xFB00)]
+        marked |= {chr(code): SPACED + alone[chr(code)] for code in ideographs if alone[chr(code)]}
     return marked
 
 
@@ -159,8 +158,8 @@ def folding() -> Folding:
     marked = _marked(spell, alone)
 
     composed = compositions()
-    bound = {char for pair in composed for char in pair} | {chr(code) for code in range(THAI[0], THAI[1] + 1)}
-    single = {char: base for char, base in alone.items() if len(base) < 2 and not {char} & (bound | marked.keys())}
+    bound = {*marked, *"".join(composed), *map(chr, range(THAI[0], THAI[1] + 1))}
+    single = {char: base for char, base in alone.items() if len(base) < 2 and char not in bound}
     entries = [marked.get(char, base) for char, base in alone.items()]
     long = {ord(char): entry for char, entry in zip(characters, entries, strict=True) if len(entry) > WIDTH}
     table = b"".join(entry[:WIDTH].ljust(WIDTH).encode() for entry in entries)

@@ -24,21 +24,58 @@ TERM_COLUMNS = ["term", "df", "cf"]
 POSTING_COLUMNS = ["doc_id", "term", "tf", "doc_terms", "positions"]
 
 
+@dataclass(frozen=True)
+class StoredTables:
+    """The tables of a stored index as they are, with rows of documents that were replaced.
+
+    ``layouts`` are the numbers of hash bits by which batches number their buckets, ``frequent``
+    the terms whose neighbours are stored as pairs, ``replaced`` the ids that do not count any
+    more, None if there are none.
+    """
+
+    documents: DataFrame
+    entries: DataFrame
+    terms: DataFrame
+    postings: DataFrame
+    pairs: DataFrame
+    pair_counts: DataFrame
+    grams: DataFrame
+    gram_counts: DataFrame
+    layouts: list[int]
+    frequent: list[str]
+    replaced: DataFrame | None
+
+    def live(self, rows: DataFrame) -> DataFrame:
+        """``rows`` without those of replaced documents, an id of which occurs once.
+
+        An anti-join would be moved below the join that ``rows`` may come from, to all postings.
+        """
+        if self.replaced is None:
+            return rows
+        gone = self.replaced.withColumn("_gone", F.lit(True))
+        return rows.join(gone, "doc_id", "left").filter(F.col("_gone").isNull()).select(*rows.columns)
+
+
 @dataclass(frozen=True)
 class SearchIndex:
     """The three tables of an index.
 
     ``postings`` repeats the document's token count as ``doc_terms`` so that scoring needs no
-    join with ``documents``.  A stored index also has a ``bucket`` column, the hash of the
-    term modulo ``buckets``, by which its files are partitioned, and ``entries``, the terms and
-    counts of each document by its id, from which counters are taken back.
+    join with ``documents``.  A stored index also has ``entries``, the terms and counts of each
+    document by its id, from which counters are taken back, and its tables as they are ``stored``:
+    searches look terms up there and leave replaced documents out of the few rows they find.
     """
 
     documents: DataFrame
     terms: DataFrame
     postings: DataFrame
-    buckets: int = 0
     entries: DataFrame | None = None
+    stored: StoredTables | None = None
+
+    @property
+    def described(self) -> DataFrame:
+        """Documents by id, for ids that are known to count."""
+        return self.stored.documents if self.stored else self.documents
 
 
 def parse_documents(docs: DataFrame) -> DataFrame:
@@ -60,13 +97,32 @@ def parse_documents(docs: DataFrame) -> DataFrame:
     docs = docs.filter(F.size("tokens") > 0)
     positions = F.sequence(F.lit(0), F.size("tokens") - 1)
     pairs = F.arrays_zip(F.col("tokens").alias("term"), positions.alias("pos"))
+    docs = _with_runs(docs, pairs, kept)
+    squares = F.aggregate(
+        F.transform("starts", _run_length),
+        F.lit(0).cast("bigint"),
+        lambda total, tf: total + tf.cast("bigint") * tf,
+    )
+    total = F.size("ordered.terms")
+    return docs.select(
+        *kept,
+        total.alias("total_terms"),
+        (F.sqrt(squares.cast("double")) / total).alias("doc_magnitude"),
+        _run_entries().alias("entries"),
+    )
+
+
+def _with_runs(docs: DataFrame, pairs: Column, kept: list[str]) -> DataFrame:
+    """Sort (term, pos) pairs within the row and find where each run of equal terms starts."""
     docs = hold(docs, "pairs", F.sort_array(pairs), kept)
     # Two parallel arrays: the tokens in alphabetical order and their positions.
     ordered = F.struct(F.col("pairs.term").alias("terms"), F.col("pairs.pos").alias("places"))
     docs = hold(docs, "ordered", ordered, kept)
-    docs = hold(docs, "starts", _run_starts(), [*kept, "ordered"])
+    return hold(docs, "starts", _run_starts(), [*kept, "ordered"])
+
 
-    entries = F.transform(
+def _run_entries() -> Column:
+    return F.transform(
         "starts",
         lambda start, run: F.struct(
             F.get("ordered.terms", start).alias("term"),
@@ -74,18 +130,36 @@ def parse_documents(docs: DataFrame) -> DataFrame:
             F.slice("ordered.places", start + 1, _run_length(start, run)).alias("positions"),
         ),
     )
-    squares = F.aggregate(
-        F.transform("starts", _run_length),
-        F.lit(0).cast("bigint"),
-        lambda total, tf: total + tf.cast("bigint") * tf,
+
+
+def frequent_pairs(parsed: DataFrame, frequent: list[str]) -> DataFrame:
+    """Postings of neighbouring frequent terms: ``(doc_id, term, positions)``.
+
+    ``term`` is both words with a blank between, ``positions`` are those of the first.  ``parsed``
+    has doc_id and entries; all is worked out within the row.
+    """
+    chosen = F.filter("entries", lambda e: e["term"].isin(frequent))
+    places = F.flatten(
+        F.transform(
+            chosen,
+            lambda e: F.transform(e["positions"], lambda p: F.struct(p.alias("pos"), e["term"].alias("term"))),
+        )
     )
-    total = F.size("ordered.terms")
-    return docs.select(
-        *kept,
-        total.alias("total_terms"),
-        (F.sqrt(squares.cast("double")) / total).alias("doc_magnitude"),
-        entries.alias("entries"),
+    docs = hold(parsed.select("doc_id", "entries"), "places", F.sort_array(places), ["doc_id"])
+    docs = docs.filter(F.size("places") > 1)
+    both = F.transform(
+        F.sequence(F.lit(0), F.size("places") - 2),
+        lambda i: F.struct(
+            F.concat_ws(" ", F.get("places.term", i), F.get("places.term", i + 1)).alias("term"),
+            F.get("places.pos", i).alias("pos"),
+            F.get("places.pos", i + 1).alias("next"),
+        ),
     )
+    docs = hold(docs, "both", F.filter(both, lambda pair: pair["next"] == pair["pos"] + 1), ["doc_id"])
+    docs = docs.filter(F.size("both") > 0)
+    pairs = F.transform("both", lambda pair: F.struct(pair["term"].alias("term"), pair["pos"].alias("pos")))
+    docs = _with_runs(docs, pairs, ["doc_id"])
+    return docs.select("doc_id", F.inline(_run_entries())).select("doc_id", "term", "positions")
 
 
 def _run_starts() -> Column:
@@ -171,7 +245,11 @@ def build_index(docs: DataFrame) -> SearchIndex:
 
 def corpus_size(index: SearchIndex) -> DataFrame:
     """One row with the number of indexed documents."""
-    return index.documents.agg(F.count(F.lit(1)).alias("n_docs"))
+    counted = index.described.select(F.lit(1).cast("bigint").alias("n"))
+    if index.stored and index.stored.replaced is not None:
+        # Every replaced id is a stored document, so nothing needs to be joined.
+        counted = counted.unionByName(index.stored.replaced.select(F.lit(-1).cast("bigint").alias("n")))
+    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_docs"))
 
 
 def document_ids(index: SearchIndex) -> DataFrame:
@@ -179,19 +257,41 @@ def document_ids(index: SearchIndex) -> DataFrame:
     return index.documents.select("doc_id")
 
 
-def bucket_of(term: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+def known_terms(index: SearchIndex, words: DataFrame) -> DataFrame:
+    """Dictionary rows (term, df) of some words.
+
+    In a stored index the counters of several batches are added up for these words only.
+    """
+    if not index.stored:
+        return index.terms.join(words, "term").select("term", "df")
+    found = index.stored.terms.join(words, "term")
+    return found.groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
+
+
+def bucket_of(term: Column, bits: Column) -> Column:
+    """Number of a term's bucket: the lowest bits of its hash."""
+    return F.pmod(F.xxhash64(term), F.pow(F.lit(2), bits).cast("bigint")).cast("int")
 
 
 def probe_postings(index: SearchIndex, terms: DataFrame, columns: list[str]) -> DataFrame:
     """Join rows that have a ``term`` with the postings of that term.
 
     On a stored index the join also runs on the bucket, so that the partitions without any
-    wanted term are pruned while the query runs.
+    wanted term are pruned while the query runs, and replaced documents are left out of what
+    was found.
     """
-    if not index.buckets:
+    if not index.stored:
         return index.postings.select("term", *columns).join(terms, "term")
-    keyed = terms.withColumn("bucket", bucket_of(F.col("term"), index.buckets))
-    keyed = keyed.filter(F.col("term") > "")
-    postings = index.postings.select("bucket", "term", *columns)
-    return postings.join(keyed, ["bucket", "term"]).drop("bucket")
+    return _probe(index.stored, index.stored.postings, terms, columns)
+
+
+def probe_pairs(index: SearchIndex, pairs: DataFrame, columns: list[str]) -> DataFrame:
+    """:func:`probe_postings` for pairs of frequent terms, with both words as ``term``."""
+    return _probe(index.stored, index.stored.pairs, pairs, columns)
+
+
+def _probe(stored: StoredTables, table: DataFrame, terms: DataFrame, columns: list[str]) -> DataFrame:
+    keyed = terms.filter(F.col("term") > "").withColumn("bits", F.explode(F.array(*map(F.lit, stored.layouts))))
+    keyed = keyed.withColumn("bucket", bucket_of(F.col("term"), F.col("bits")))
+    rows = table.select("bits", "bucket", "term", *columns)
+    return stored.live(rows.join(keyed, ["bits", "bucket", "term"]).drop("bits", "bucket"))

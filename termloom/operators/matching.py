@@ -12,13 +12,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.indexing import SearchIndex, probe_postings
-from termloom.session import Size, broadcast_if, measured, settle
+from termloom.operators.indexing import SearchIndex, known_terms, probe_pairs, probe_postings
+from termloom.session import Size, broadcast_if, hold, measured, settle
 
 HIT_COLUMNS = ["query_id", "leaf_id", "doc_id"]
 
-# Longest run of letters used to look patterns up in the dictionary.
+# Letters of a gram, by which patterns are looked up in the dictionary, and what fills up the last.
 GRAM_LENGTH = 3
+PADDING = "$"
 
 
 def leaf_values(leaves: DataFrame, kind: str) -> DataFrame:
@@ -49,7 +50,9 @@ def match_terms(index: SearchIndex, leaves: DataFrame, size: Size | None = None)
 
 def term_documents(index: SearchIndex, term: str) -> DataFrame:
     """Documents of one literal term; the comparison is pushed down to the files."""
-    return index.postings.filter(F.col("term") == term).select("doc_id")
+    if not index.stored:
+        return index.postings.filter(F.col("term") == term).select("doc_id")
+    return index.stored.live(index.stored.postings.filter(F.col("term") == term).select("doc_id"))
 
 
 def leaf_size(leaves: DataFrame) -> Size:
@@ -70,50 +73,104 @@ def clean_pattern(value: Column) -> Column:
     return F.when(~plain.rlike(r"[^a-z%_]"), plain)
 
 
-def pattern_gram(pattern: Column) -> Column:
-    """Up to three letters every matching term must contain, from the longest literal run."""
-    runs = F.transform(
-        F.split(pattern, "[%_]"), lambda run: F.struct(F.length(run).alias("n"), run.alias("run"))
+def term_grams(terms: DataFrame) -> DataFrame:
+    """The distinct grams of each term: ``(gram, term)``.
+
+    A gram is GRAM_LENGTH letters; the last ones of a term are filled up with PADDING, so every
+    shorter run of letters is the start of a gram.
+    """
+    padded = F.concat("term", F.lit(PADDING * (GRAM_LENGTH - 1)))
+    starts = F.sequence(F.lit(1), F.length("term"))
+    grams = F.transform(starts, lambda at: F.substring(padded, at, F.lit(GRAM_LENGTH)))
+    return terms.select(F.explode(F.array_distinct(grams)).alias("gram"), "term")
+
+
+def pattern_grams(pattern: Column) -> Column:
+    """Lists of grams, one of each list in every term that matches the pattern.
+
+    From each literal run of GRAM_LENGTH letters or more every gram on its own; if there is no
+    such run, all grams that start with the longest one.
+    """
+    runs = F.split(pattern, "[%_]")
+    whole = F.flatten(
+        F.transform(
+            F.filter(runs, lambda run: F.length(run) >= GRAM_LENGTH),
+            lambda run: F.transform(
+                F.sequence(F.lit(1), F.length(run) - (GRAM_LENGTH - 1)),
+                lambda at: F.array(F.substring(run, at, F.lit(GRAM_LENGTH))),
+            ),
+        )
+    )
+    longest = F.array_max(F.transform(runs, lambda run: F.struct(F.length(run).alias("n"), run.alias("run"))))["run"]
+    letters = F.array(*map(F.lit, "abcdefghijklmnopqrstuvwxyz"))
+    endings = F.concat(letters, F.array(F.lit(PADDING)))
+    # Nothing follows padding but padding.
+    two = F.flatten(
+        F.transform(
+            endings,
+            lambda a: F.when(a == PADDING, F.array(F.lit(PADDING * 2))).otherwise(
+                F.transform(endings, lambda b: F.concat(a, b))
+            ),
+        )
     )
-    return F.substring(F.array_max(runs)["run"], 1, GRAM_LENGTH)
+    short = F.when(F.length(longest) == 2, F.transform(endings, lambda end: F.concat(longest, end))).when(
+        F.length(longest) == 1, F.transform(two, lambda end: F.concat(longest, end))
+    )
+    return F.when(F.size(whole) > 0, whole).when(F.length(longest) > 0, F.array(short))
+
 
+def _with_rarest(wanted: DataFrame, counts: DataFrame) -> DataFrame:
+    """A row for each gram of the list that the fewest terms have.
 
-def term_grams(terms: DataFrame, length: int) -> DataFrame:
-    """The distinct substrings of ``length`` letters of each term: ``(term, gram)``."""
-    if length == 0:
-        return terms.select("term", F.lit("").alias("gram"))
-    starts = F.sequence(F.lit(1), F.length("term") - (length - 1))
-    cut = terms.filter(F.length("term") >= length).select("term", F.explode(starts).alias("at"))
-    grams = cut.select("term", "at", F.substring("term", F.col("at"), F.lit(length)).alias("gram"))
-    # Only the first occurrence within the term.
-    return grams.filter(F.expr("locate(gram, term)") == F.col("at")).select("term", "gram")
+    ``counts`` has at most one row for each possible gram, 27 ** 3, and is broadcast.
+    """
+    lists = wanted.select("value", "pattern", F.posexplode(pattern_grams(F.col("pattern"))).alias("list", "grams"))
+    grams = lists.select("value", "pattern", "list", F.explode("grams").alias("gram"))
+    priced = grams.join(F.broadcast(counts), "gram", "left")
+    n_terms = F.sum(F.coalesce("n", F.lit(0))).alias("n_terms")
+    kept = F.collect_list(F.when(F.col("n").isNotNull(), F.col("gram"))).alias("grams")  # of one pattern
+    priced = priced.groupBy("value", "pattern", "list").agg(n_terms, kept)
+    best = priced.groupBy("value", "pattern").agg(F.min_by("grams", F.struct("n_terms", "list")).alias("grams"))
+    return best.select("value", "pattern", F.explode("grams").alias("gram"))
 
 
 def expand_patterns(index: SearchIndex, patterns: DataFrame) -> DataFrame:
     """Dictionary terms that contain a pattern: ``(value, term)``.
 
-    ``%`` and ``_`` are wildcards.  A pattern and a term meet on a letter gram they share
-    (an equi-join, not a comparison of every pattern with every term) and are then compared
-    in full.
+    ``%`` and ``_`` are wildcards.  A pattern and a term meet on the rarest letter gram that the
+    pattern asks for (an equi-join, not a comparison of every pattern with every term) and are then
+    compared in full.  A stored index has its grams at hand; patterns without any letter are
+    compared with the whole dictionary, and no gram is cut for them.
     """
     wanted = patterns.select("value", clean_pattern(F.col("value")).alias("pattern"))
-    wanted = wanted.filter(F.col("pattern").isNotNull())
-    wanted = wanted.withColumn("gram", pattern_gram(F.col("pattern")))
-    facts = wanted.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("n_bytes"),
-        F.collect_set(F.length("gram")).alias("lengths"),
-    ).first()
-    # A row holds the value, the cleaned pattern and its gram.
-    wanted = broadcast_if(wanted, Size(facts["n"], 3 * facts["n_bytes"]))
-    # At most four gram lengths occur; only those are cut from the dictionary.
-    grams = [term_grams(index.terms, length) for length in sorted(facts["lengths"]) or [0]]
-    terms = reduce(DataFrame.unionByName, grams)
+    wanted = settle(wanted.filter(F.col("pattern").isNotNull()), "wanted-patterns")
+    size = measured(wanted)
     literal = ~F.col("pattern").rlike("[%_]")
     fits = F.when(literal, F.contains("term", "pattern")).otherwise(
         F.expr("term LIKE concat('%', pattern, '%')")
     )
-    return terms.join(wanted, "gram").filter(fits).select("value", "term")
+    has_letter = F.col("pattern").rlike("[a-z]")
+    grams = index.stored.grams if index.stored else settle(term_grams(index.terms), "grams")
+    counts = index.stored.gram_counts if index.stored else grams.select("gram", F.lit(1).alias("n"))
+    counts = settle(counts.groupBy("gram").agg(F.sum("n").alias("n")), "gram-counts")
+    probes = settle(_with_rarest(wanted.filter(has_letter), counts), "probes")
+    # Several grams of one list may lead to a term, and several batches may hold it.
+    found = grams.join(broadcast_if(probes, measured(probes)), "gram").filter(fits).select("value", "term").distinct()
+    if index.stored and index.stored.replaced is not None:
+        found = settle(found, "found")
+        words = found.select("term").distinct()
+        known = known_terms(index, broadcast_if(words, measured(words))).select("term")
+        found = found.join(known, "term", "left_semi")
+
+    wild = wanted.filter(~has_letter)
+    return found if wild.isEmpty() else found.unionByName(_of_length(index, wild, size))
+
+
+def _of_length(index: SearchIndex, wild: DataFrame, size: Size) -> DataFrame:
+    """Terms that have at least as many letters as a pattern of wildcards alone asks for."""
+    lengths = wild.select("value", F.length(F.replace("pattern", F.lit("%"))).alias("least"))
+    terms = index.terms.select("term", F.explode(F.sequence(F.lit(0), F.length("term"))).alias("least"))
+    return terms.join(broadcast_if(lengths, size), "least").select("value", "term")
 
 
 def match_patterns(index: SearchIndex, leaves: DataFrame, size: Size | None = None) -> DataFrame:
@@ -139,12 +196,39 @@ def match_patterns(index: SearchIndex, leaves: DataFrame, size: Size | None = No
 # Phrases -------------------------------------------------------------------------------
 
 
-def phrase_tokens(phrases: DataFrame) -> DataFrame:
-    """One row per token of each phrase: ``(phrase_id, at, term, n_tokens)``."""
+def phrase_parts(phrases: DataFrame, frequent: list[str]) -> DataFrame:
+    """The parts a phrase is looked up by: ``(phrase_id, n_parts, at, term, is_pair)``.
+
+    Two neighbouring frequent tokens are one part, both words with a blank between; every token
+    that is in no such pair is a part of its own.  A token may be in two pairs.
+    """
     tokens = F.split("value", " ")
-    return phrases.select(
-        "phrase_id", F.size(tokens).alias("n_tokens"), F.posexplode(tokens).alias("at", "term")
-    )
+    phrases = hold(phrases, "tokens", tokens, ["phrase_id"])
+    often = F.transform("tokens", lambda token: token.isin(frequent))
+    phrases = hold(phrases, "often", often, ["phrase_id", "tokens"])
+
+    def part(token: Column, at: Column) -> Column:
+        own, after = F.get("often", at), F.coalesce(F.get("often", at + 1), F.lit(False))
+        before = (at > 0) & F.coalesce(F.get("often", at - 1), F.lit(False))
+        pair = F.struct(
+            at.alias("at"), F.concat_ws(" ", token, F.get("tokens", at + 1)).alias("term"), F.lit(True).alias("is_pair")
+        )
+        single = F.struct(at.alias("at"), token.alias("term"), F.lit(False).alias("is_pair"))
+        return F.when(own & after, pair).when(~own | ~before, single)
+
+    parts = F.array_compact(F.transform("tokens", part))
+    phrases = hold(phrases, "parts", parts, ["phrase_id"])
+    return phrases.select("phrase_id", F.size("parts").alias("n_parts"), F.inline("parts"))
+
+
+def _probe_parts(index: SearchIndex, parts: DataFrame, size: Size, columns: list[str]) -> DataFrame:
+    """Postings of phrase parts, from the pairs of a stored index or from its terms."""
+    singles = parts.filter(~F.col("is_pair")).drop("is_pair")
+    found = probe_postings(index, broadcast_if(singles, size), columns)
+    if index.stored and index.stored.frequent:
+        pairs = parts.filter("is_pair").drop("is_pair")
+        found = found.unionByName(probe_pairs(index, broadcast_if(pairs, size), columns))
+    return found
 
 
 def match_phrases(
@@ -168,20 +252,21 @@ def match_phrases(
         values = values.filter(F.size(F.array_distinct(tokens)) == F.size(tokens))
     number = F.monotonically_increasing_id().alias("phrase_id")
     phrases = settle(values.select(number, "value"), "phrases")
-    wanted = settle(phrase_tokens(phrases), "phrase-tokens")
-    tokens = measured(wanted)
+    frequent = index.stored.frequent if index.stored else []
+    wanted = settle(phrase_parts(phrases, frequent), "phrase-parts")
+    size_of_parts = measured(wanted)
 
-    # Only documents of a phrase's rarest token can hold it; both sides of this join, and the
+    # Only documents of a phrase's rarest part can hold it; both sides of this join, and the
     # grouping behind it, share the distribution by (phrase_id, doc_id).
-    entries = probe_postings(index, broadcast_if(wanted, tokens), ["doc_id", "positions"])
-    candidates = _phrase_candidates(index, wanted, tokens)
+    entries = _probe_parts(index, wanted, size_of_parts, ["doc_id", "positions"])
+    candidates = _phrase_candidates(index, wanted, size_of_parts)
     entries = entries.join(candidates, ["phrase_id", "doc_id"], "left_semi")
 
     gathered = entries.groupBy("phrase_id", "doc_id").agg(
         F.collect_list(F.struct("at", "positions")).alias("entries"),
-        F.first("n_tokens").alias("n_tokens"),
+        F.first("n_parts").alias("n_parts"),
     )
-    complete = gathered.filter(F.size("entries") == F.col("n_tokens"))
+    complete = gathered.filter(F.size("entries") == F.col("n_parts"))
     starts = F.aggregate(
         "entries",
         _starts(F.col("entries")[0]),
@@ -198,25 +283,28 @@ def _starts(entry: Column) -> Column:
     return F.transform(entry["positions"], lambda pos: pos - entry["at"])
 
 
-def _phrase_candidates(index: SearchIndex, wanted: DataFrame, tokens: Size) -> DataFrame:
-    """Documents of each phrase's rarest token: ``(phrase_id, doc_id)``.
+def _phrase_candidates(index: SearchIndex, wanted: DataFrame, size: Size) -> DataFrame:
+    """Documents of each phrase's rarest part: ``(phrase_id, doc_id)``.
 
-    The dictionary gives their exact number before any posting is read; beyond the limit they
-    are shuffled instead of broadcast.
+    The dictionary gives their number, replaced documents of pairs included, before any posting is
+    read; beyond the limit they are shuffled instead of broadcast.
     """
-    words = broadcast_if(wanted.select("term").distinct(), tokens)
-    known = index.terms.join(words, "term").select("term", "df")
+    words = broadcast_if(wanted.filter(~F.col("is_pair")).select("term").distinct(), size)
+    known = known_terms(index, words)
+    if index.stored and index.stored.frequent:
+        pairs = broadcast_if(wanted.filter("is_pair").select("term").distinct(), size)
+        found = index.stored.pair_counts.join(pairs, "term")
+        known = known.unionByName(found.groupBy("term").agg(F.sum("df").alias("df")))
     rarest = (
-        wanted.join(broadcast_if(known, tokens), "term")
+        wanted.join(broadcast_if(known, size), "term")
         .groupBy("phrase_id")
-        .agg(F.min_by(F.struct("term", "df"), F.struct("df", "term")).alias("rarest"))
-        .select("phrase_id", "rarest.term", "rarest.df")
+        .agg(F.min_by(F.struct("term", "is_pair", "df"), F.struct("df", "term")).alias("rarest"))
+        .select("phrase_id", "rarest.term", "rarest.is_pair", "rarest.df")
     )
     rarest = settle(rarest, "rarest")
     n_candidates = rarest.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
-    probe = broadcast_if(rarest.select("phrase_id", "term"), tokens)
-    hits = probe_postings(index, probe, ["doc_id"]).select("phrase_id", "doc_id")
-    return broadcast_if(hits, Size(n_candidates))
+    hits = _probe_parts(index, rarest.select("phrase_id", "term", "is_pair"), size, ["doc_id"])
+    return broadcast_if(hits.select("phrase_id", "doc_id"), Size(n_candidates))
 
 
 # Everything ----------------------------------------------------------------------------

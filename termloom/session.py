@@ -30,10 +30,17 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
-    Without that setting a folder in the warehouse is taken, which executors share as well.
+    Without that setting a folder in the warehouse is taken.  A warehouse on a local disk is
+    shared by a local session only; on a cluster it is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/termloom-scratch"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local_path = warehouse.startswith("file:") or "://" not in warehouse
+    if local_path and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return f"{warehouse}/termloom-scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -81,13 +88,12 @@ def broadcast_if(df: DataFrame, size: Size) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a source that has fewer files than the cluster has cores.
+    """Repartition a source that is read in fewer tasks than the cluster has cores.
 
-    Meant for small inputs in few unsplittable files; a large source is left as it is.  Only
-    the list of files is looked at, nothing runs.
+    Only small inputs are; a large source has many splits and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def hold(df: DataFrame, name: str, value: Column, keep: list[str] | None = None) -> DataFrame:

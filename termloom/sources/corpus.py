@@ -20,13 +20,12 @@ def document_key(filename: Column) -> Column:
     return F.lower(filename)
 
 
-def _file_columns(raw: DataFrame) -> DataFrame:
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return raw.select(
-        file_name(path).alias("filename"),
-        path.alias("filepath"),
-        F.unix_micros("_metadata.file_modification_time").alias("seq"),
-        F.col("value").alias("text"),
+def _file_columns(files: DataFrame, text: Column) -> DataFrame:
+    return files.select(
+        file_name(F.col("path")).alias("filename"),
+        F.col("path").alias("filepath"),
+        F.unix_micros("modificationTime").alias("seq"),
+        text.alias("text"),
     )
 
 
@@ -34,21 +33,22 @@ def read_text_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Read every file under ``path`` as one document, whatever its extension.
 
     Columns: filename, filepath, seq (the modification time, by which the last of several files
-    of one name wins), text.  A file that vanishes or cannot be read has a null text, which
-    ``ingest_report`` shows as failed; to find these, the names of all files are compared with
-    the names of those that gave a text.
+    of one name wins), text.  A file that cannot be read, or whose bytes are no UTF-8, has a
+    null text, which ``ingest_report`` shows as failed; to find files that gave nothing, the names
+    of all are compared with the names of those that did.
     """
-    names = spark.read.format("binaryFile").load(path).withColumn("value", F.lit(None).cast("string"))
-    return _with_failed(_readable(spark, path), _file_columns(names))
+    names = spark.read.format("binaryFile").load(path)
+    return _with_failed(_readable(spark, path), _file_columns(names, F.lit(None).cast("string")))
 
 
 def _readable(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    reader = spark.read.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-    return _file_columns(reader.text(path, wholetext=True))
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    files = reader.load(path).filter(F.col("content").isNotNull())
+    return _file_columns(files, F.try_validate_utf8(F.col("content").cast("string")))
 
 
 def _with_failed(texts: DataFrame, names: DataFrame) -> DataFrame:
-    """All texts, and a null one for each name without a text."""
+    """All texts, and a null one for each name without a file that could be read."""
     return texts.unionByName(names.join(texts.select("filepath"), "filepath", "left_anti").select(*texts.columns))
 
 
@@ -56,18 +56,18 @@ def stream_file_names(spark: SparkSession, path: str, files_per_batch: int) -> D
     """Streaming list of the files that arrive under ``path``; their content is not read."""
     reader = spark.readStream.format("binaryFile").option("maxFilesPerTrigger", files_per_batch)
     reader = reader.schema("path string, modificationTime timestamp, length bigint, content binary")
-    return reader.load(path).select("path", F.unix_micros("modificationTime").alias("seq"))
+    return reader.load(path).select("path", "modificationTime")
 
 
-def read_named_files(spark: SparkSession, files: list[tuple[str, int]]) -> DataFrame:
-    """:func:`read_text_files` for a bounded list of (path, modification time)."""
-    listed = spark.createDataFrame(files, "filepath string, seq bigint")
-    names = listed.select(
-        file_name(F.col("filepath")).alias("filename"), "filepath", "seq", F.lit(None).cast("string").alias("text")
-    )
-    files_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    there = [path for path, _ in files if (p := files_of(path)).getFileSystem(conf).exists(p)]
+def read_named_files(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
+    """:func:`read_text_files` for some of the files of a folder, ``(path, modificationTime)``.
+
+    Their number is bounded by the size of a stream's batch.  One listing of the folder tells
+    which of them are still there.
+    """
+    names = settle(_file_columns(files, F.lit(None).cast("string")), "arrived-names")
+    listed = spark.read.format("binaryFile").load(folder).select(F.col("path").alias("filepath"))
+    there = [row[0] for row in listed.join(names, "filepath", "left_semi").collect()]
     if not there:
         return names
     # In a path to read, these characters would be wildcards.

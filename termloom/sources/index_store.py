@@ -1,30 +1,28 @@
-"""Stored index: segments of Parquet tables and a log of write-once commits.
-
-Layout under the root folder::
-
-    commits/v<number>.json                     one file per version, never overwritten
-    documents/segment=<s>/                     documents in order of id
-    entries/segment=<s>/                       each document's terms and their counts
-    terms/segment=<s>/                         counters, or changes of counters, by term
-    replaced/segment=<s>/                      ids of earlier documents that are gone
-    postings/segment=<s>/bucket=<b>/           sorted by term, then document
-
-A version is a list of segments.  A batch writes its own documents, postings, counter changes
-and the ids it replaces, and nothing else; a reader adds the segments up and leaves out the
-replaced ids.  :func:`compact` writes one new segment in place of many, :func:`vacuum` removes
-segments that no kept version names.
-
-Segments are complete before their commit file appears, and that file is created only if it is
-not there: of two writers one gets the version and the other a :class:`CommitConflict`.
+"""Stored index: plain Parquet tables, each partitioned by the batch that wrote its rows.
+
+Layout under the root folder, every table with ``batch=<n>`` first::
+
+    documents                      documents in order of id
+    entries                        each document's terms and their counts
+    terms                          counters of a term, or changes of them
+    postings/bits=<b>/bucket=<k>   sorted by term, then document
+    pairs/bits=<b>/bucket=<k>      postings of neighbouring frequent terms
+    pair_counts                    documents of each such pair
+    grams, gram_counts             letter grams of the dictionary, and how many terms have each
+    frequent                       terms whose neighbours are stored as pairs
+    replaced                       ids of documents of earlier batches that are gone
+    batches                        one row for a batch that is complete, written last
+
+A batch writes its own partitions and nothing else.  Readers take the batches from the last
+``base`` on, a batch that holds everything, add the counters up and leave replaced documents out.
+A batch without its row in ``batches`` does not count; writing it again overwrites its partitions.
+One writer at a time feeds a root.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,20 +32,23 @@ from termloom.operators.indexing import (
     POSTING_COLUMNS,
     TERM_COLUMNS,
     SearchIndex,
+    StoredTables,
     bucket_of,
     document_entries,
     document_rows,
+    frequent_pairs,
     parse_corpus,
     posting_rows,
     term_rows,
 )
-from termloom.operators.maintenance import replaced_documents, term_deltas
+from termloom.operators.maintenance import entries_of, replaced_documents, term_deltas
+from termloom.operators.matching import term_grams
 from termloom.session import broadcast_if, measured, scratch_path, settle
 
 # One posting bucket, and one sorted part of the postings, per this many tokens.
 TOKENS_PER_BUCKET = 2_000_000
-# Replaced documents up to which their entries are looked up by literal ids.
-LITERAL_IDS = 1000
+# A term is frequent from this share of all tokens on, so there are at most this many.
+FREQUENT_TERMS = 500
 
 SCHEMAS = {
     "documents": (
@@ -56,258 +57,253 @@ SCHEMAS = {
     ),
     "entries": "doc_id bigint, entries array<struct<term:string,tf:int>>",
     "terms": "term string, df bigint, cf bigint",
-    "replaced": "doc_id bigint",
     "postings": (
-        "doc_id bigint, term string, tf int, doc_terms int, positions array<int>, bucket int"
+        "doc_id bigint, term string, tf int, doc_terms int, positions array<int>, bits int, bucket int"
     ),
+    "pairs": "doc_id bigint, term string, positions array<int>, bits int, bucket int",
+    "pair_counts": "term string, df bigint",
+    "grams": "gram string, term string",
+    "gram_counts": "gram string, n bigint",
+    "frequent": "term string",
+    "replaced": "doc_id bigint",
+    "batches": "base bigint, bits int, next_doc_id bigint, stream string, batch_id bigint",
 }
-COMMIT_SCHEMA = (
-    "version bigint, segments array<string>, buckets int, next_doc_id bigint, "
-    "stream string, batch_id bigint"
-)
-
-
-class CommitConflict(RuntimeError):
-    """Another writer has stored this version meanwhile."""
 
 
 @dataclass(frozen=True)
-class Commit:
-    """A stored version.  ``stream`` and ``batch_id`` name the stream batch that made it."""
+class Version:
+    """The batches that make up the index, and what is to be known before a search."""
 
-    version: int
-    segments: list[str]
-    buckets: int
+    base: int
+    last: int
     next_doc_id: int
-    stream: str | None = None
-    batch_id: int | None = None
+    layouts: list[int]
 
-    def __getitem__(self, key: str):
-        return getattr(self, key)
 
+# Reading -------------------------------------------------------------------------------
 
-def index_corpus(docs: DataFrame, root: str) -> SearchIndex:
-    """Index ``docs`` straight into a stored index.
 
-    The parsed documents are written once, so each text is tokenised once although both the
-    documents and the postings come from it.
-    """
-    parsed = parse_corpus(docs)
-    index = SearchIndex(document_rows(parsed), None, posting_rows(parsed), entries=document_entries(parsed))
-    return save_index(index, root)
+def _table(spark: SparkSession, root: str, table: str) -> DataFrame:
+    reader = spark.read.schema(f"{SCHEMAS[table]}, batch bigint")
+    return reader.option("basePath", f"{root.rstrip('/')}/{table}").parquet(f"{root.rstrip('/')}/{table}")
 
 
-def save_index(index: SearchIndex, root: str) -> SearchIndex:
-    """Store a whole index as one segment, the newest version under ``root``, and return it.
+def _batches(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return _table(spark, root, "batches")
+    except AnalysisException as error:  # the folder does not exist yet
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
-    Without a terms table the dictionary is counted from the stored postings.
-    """
-    spark = index.documents.sparkSession
-    previous = latest_commit(spark, root)
-    name = uuid.uuid4().hex
-    _write(index.documents.select(*DOCUMENT_COLUMNS), root, "documents", name)
-    facts = _read(spark, root, "documents", [name]).agg(
-        F.coalesce(F.sum("total_terms"), F.lit(0)), F.coalesce(F.max("doc_id") + 1, F.lit(0))
+
+def current_version(spark: SparkSession, root: str) -> Version | None:
+    """The batches that count, or None if there is no index yet; one row whatever their number."""
+    batches = _batches(spark, root)
+    if batches is None:
+        return None
+    # Layouts of batches before the base do no harm: they name buckets that hold nothing.
+    facts = batches.agg(
+        F.max("base"), F.max("batch"), F.max("next_doc_id"), F.sort_array(F.collect_set("bits"))
     ).first()
-    tokens, next_doc_id = facts
-    buckets = max(1, -(-tokens // TOKENS_PER_BUCKET))
-    _write_postings(index.postings, root, name, buckets, tokens)
+    return None if facts[0] is None else Version(*facts)
 
-    entries = index.entries
-    if entries is None:  # of one document, so bounded by it
-        entries = index.postings.groupBy("doc_id").agg(F.collect_list(F.struct("term", "tf")).alias("entries"))
-    _write(entries.select("doc_id", "entries"), root, "entries", name)
-    terms = index.terms
-    if terms is None:
-        terms = term_rows(_read(spark, root, "postings", [name]).select("term", "tf"))
-    _write(terms.select(*TERM_COLUMNS).repartitionByRange("term").sortWithinPartitions("term"), root, "terms", name)
 
-    last = previous.next_doc_id if previous else 0
-    commit = Commit(previous.version + 1 if previous else 1, [name], buckets, max(next_doc_id, last))
-    _store_commit(spark, root, commit)
-    return _open(spark, root, commit)
+def last_batch(spark: SparkSession, root: str, stream: str) -> int:
+    """Number of the last batch of a stream that counts, -1 before the first."""
+    batches = _batches(spark, root)
+    if batches is None:
+        return -1
+    last = batches.filter(F.col("stream") == stream).agg(F.max("batch_id")).first()[0]
+    return -1 if last is None else last
+
+
+def _open(spark: SparkSession, root: str, version: Version) -> SearchIndex:
+    def read(table: str, first: int = version.base) -> DataFrame:
+        rows = _table(spark, root, table)
+        return rows.filter(F.col("batch").between(first, version.last)).drop("batch")
+
+    names = ("documents", "entries", "terms", "postings", "pairs", "pair_counts", "grams", "gram_counts")
+    frequent = _table(spark, root, "frequent").filter(F.col("batch") == version.base)
+    frequent = [row[0] for row in frequent.select("term").collect()]  # at most FREQUENT_TERMS
+    replaced = None
+    if version.last > version.base:  # the base replaces nothing
+        replaced = read("replaced", version.base + 1)
+        replaced = broadcast_if(replaced, measured(replaced))
+    stored = StoredTables(*map(read, names), version.layouts, frequent, replaced)
+    terms = stored.terms
+    if replaced is not None:
+        terms = terms.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).filter("df > 0")
+    return SearchIndex(
+        stored.live(stored.documents),
+        terms,
+        stored.live(stored.postings.select(*POSTING_COLUMNS)),
+        stored.live(stored.entries),
+        stored,
+    )
 
 
-def add_batch(
-    spark: SparkSession,
-    root: str,
-    batch: DataFrame,
-    stream: str | None = None,
-    batch_id: int | None = None,
-    attempts: int = 5,
-) -> SearchIndex:
-    """Add or replace the batch's documents in the index under ``root``.
+def load_index(spark: SparkSession, root: str) -> SearchIndex:
+    """Open the index under ``root``."""
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no index under {root}")
+    return _open(spark, root, version)
 
-    Only the batch's own rows are written.  Columns: filename, text, seq (the order of arrival)
-    and optionally filepath; all documents get new ids.  If another writer is faster, the batch
-    is applied again to the version that writer stored.
-    """
-    for attempt in range(attempts):
-        commit = latest_commit(spark, root)
-        if commit is None:
-            raise FileNotFoundError(f"no index under {root}")
-        parsed = parse_corpus(required_columns(batch), commit.next_doc_id - 1)
-        index = _open(spark, root, commit)
-        name = uuid.uuid4().hex
-        keys = parsed.select("doc_key")
-        replaced = settle(replaced_documents(index, broadcast_if(keys, measured(keys))), "replaced")
-        _write(replaced, root, "replaced", name)
-        _write(document_rows(parsed), root, "documents", name)
-        _write(document_entries(parsed), root, "entries", name)
-        facts = parsed.agg(F.coalesce(F.sum("total_terms"), F.lit(0)), F.max("doc_id")).first()
-        _write_postings(posting_rows(parsed), root, name, commit.buckets, facts[0])
-        added = document_entries(parsed).select(F.inline("entries"))
-        removed = _entries_of(index, replaced).select(F.inline("entries"))
-        deltas = term_deltas(added, 1).unionByName(term_deltas(removed, -1))
-        summed = deltas.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
-        _write(summed.filter("df <> 0 OR cf <> 0"), root, "terms", name)
-        next_doc_id = commit.next_doc_id if facts[1] is None else facts[1] + 1
-        stored = Commit(
-            commit.version + 1, [*commit.segments, name], commit.buckets, next_doc_id, stream, batch_id
-        )
-        try:
-            _store_commit(spark, root, stored)
-        except CommitConflict:
-            if attempt + 1 == attempts:
-                raise
-            continue
-        return _open(spark, root, stored)
-    raise CommitConflict(root)
 
+# Writing -------------------------------------------------------------------------------
 
-def required_columns(batch: DataFrame) -> DataFrame:
-    """The batch without ids of its own; it must say in which order its rows arrived."""
-    if "seq" not in batch.columns:
-        raise ValueError("a batch needs a column seq, the order of arrival")
-    return batch.drop("doc_id")
 
+def _write(df: DataFrame, root: str, table: str, batch: int, *by: str) -> None:
+    """Overwrite one batch of a table."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*by).parquet(f"{root.rstrip('/')}/{table}/batch={batch}")
 
-def compact(spark: SparkSession, root: str) -> SearchIndex:
-    """Store the newest version anew as one segment, without replaced documents."""
-    return save_index(load_index(spark, root), root)
 
+def _layout(tokens: int) -> int:
+    """Bits of the term's hash that number the buckets of a batch."""
+    return (-(-tokens // TOKENS_PER_BUCKET) - 1).bit_length() if tokens else 0
 
-def vacuum(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
-    """Delete the segments that none of the last ``keep`` versions names; returns their names.
 
-    No other writer may be at work.
-    """
-    commits = sorted(_commits(spark, root), key=lambda commit: -commit.version)
-    kept = {name for commit in commits[:keep] for name in commit.segments}
-    removed = set()
-    for table in SCHEMAS:
-        folder = _hadoop_path(spark, f"{root}/{table}")
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            continue
-        for status in files.listStatus(folder):
-            name = status.getPath().getName().removeprefix("segment=")
-            if name not in kept:
-                files.delete(status.getPath(), True)
-                removed.add(name)
-    return sorted(removed)
+def _write_buckets(rows: DataFrame, root: str, table: str, batch: int, tokens: int) -> None:
+    """Range partitioning on (bucket, term, doc_id) spreads the postings of a frequent term
+    over as many tasks as they need."""
+    bits, order = _layout(tokens), ["bucket", "term", "doc_id"]
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-tokens // TOKENS_PER_BUCKET))
+    rows = rows.select("*", F.lit(bits).alias("bits"), bucket_of(F.col("term"), F.lit(bits)).alias("bucket"))
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    _write(rows, root, table, batch, "bits", "bucket")
 
 
-# Tables --------------------------------------------------------------------------------
+def _write_words(terms: DataFrame, root: str, batch: int) -> None:
+    """Counters of a batch, and the grams of the terms it adds to."""
+    _write(terms.select(*TERM_COLUMNS).repartitionByRange("term").sortWithinPartitions("term"), root, "terms", batch)
+    written = _table(terms.sparkSession, root, "terms").filter((F.col("batch") == batch) & (F.col("df") > 0))
+    grams = term_grams(written.select("term"))
+    _write(grams.repartitionByRange("gram", "term").sortWithinPartitions("gram", "term"), root, "grams", batch)
+    written = _table(terms.sparkSession, root, "grams").filter(F.col("batch") == batch)
+    counts = written.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    _write(counts.coalesce(1), root, "gram_counts", batch)
 
 
-def _write(df: DataFrame, root: str, table: str, segment: str) -> None:
-    df.write.parquet(f"{root.rstrip('/')}/{table}/segment={segment}")
+def _write_pairs(parsed: DataFrame, frequent: list[str], root: str, batch: int, tokens: int) -> None:
+    _write_buckets(frequent_pairs(parsed, frequent), root, "pairs", batch, tokens)
+    written = _table(parsed.sparkSession, root, "pairs").filter(F.col("batch") == batch)
+    counts = written.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    _write(counts, root, "pair_counts", batch)
 
 
-def _write_postings(postings: DataFrame, root: str, segment: str, buckets: int, tokens: int) -> None:
-    """Range partitioning on (bucket, term, doc_id) spreads the postings of a frequent term
-    over as many tasks as they need."""
-    spark = postings.sparkSession
-    order = ["bucket", "term", "doc_id"]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // TOKENS_PER_BUCKET))
-    rows = postings.select(*POSTING_COLUMNS, bucket_of(F.col("term"), buckets).alias("bucket"))
-    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    rows.write.partitionBy("bucket").parquet(f"{root.rstrip('/')}/postings/segment={segment}")
-
-
-def _read(spark: SparkSession, root: str, table: str, segments: list[str]) -> DataFrame:
-    base = f"{root.rstrip('/')}/{table}"
-    paths = [f"{base}/segment={name}" for name in segments]
-    reader = spark.read.schema(f"{SCHEMAS[table]}, segment string").option("basePath", base)
-    return reader.parquet(*paths).drop("segment")
-
-
-def _open(spark: SparkSession, root: str, commit: Commit) -> SearchIndex:
-    tables = {
-        table: _read(spark, root, table, commit.segments) for table in SCHEMAS if table != "replaced"
-    }
-    later = commit.segments[1:]
-    if later:
-        # The first segment of a version replaces nothing.
-        gone = _read(spark, root, "replaced", later)
-        gone = broadcast_if(gone, measured(gone))
-        for table in ("documents", "entries", "postings"):
-            columns = tables[table].columns
-            tables[table] = tables[table].join(gone, "doc_id", "left_anti").select(*columns)
-        summed = tables["terms"].groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
-        tables["terms"] = summed.filter("df > 0")
-    return SearchIndex(
-        tables["documents"], tables["terms"], tables["postings"], commit.buckets, tables["entries"]
-    )
+def _finish(
+    spark: SparkSession, root: str, batch: int, base: int, tokens: int, next_doc_id: int,
+    stream: str | None = None, batch_id: int | None = None,
+) -> SearchIndex:
+    """Make a written batch count."""
+    row = [(base, _layout(tokens), next_doc_id, stream, batch_id)]
+    _write(spark.createDataFrame(row, SCHEMAS["batches"]).coalesce(1), root, "batches", batch)
+    return _open(spark, root, current_version(spark, root))
 
 
-def _entries_of(index: SearchIndex, ids: DataFrame) -> DataFrame:
-    """Entries of some documents; few ids are pushed down, so that files are skipped by them."""
-    few = [row[0] for row in ids.limit(LITERAL_IDS + 1).collect()]
-    if len(few) <= LITERAL_IDS:
-        return index.entries.filter(F.col("doc_id").isin(few))
-    return index.entries.join(broadcast_if(ids, measured(ids)), "doc_id", "left_semi")
+def index_corpus(
+    docs: DataFrame, root: str, stream: str | None = None, batch_id: int | None = None
+) -> SearchIndex:
+    """Index ``docs`` straight into a stored index.
 
+    The parsed documents are written once, so each text is tokenised once although the
+    documents, the postings and the pairs come from it.
+    """
+    parsed = parse_corpus(docs)
+    index = SearchIndex(document_rows(parsed), None, posting_rows(parsed), document_entries(parsed))
+    return save_index(index, root, parsed, stream, batch_id)
 
-# Commits -------------------------------------------------------------------------------
 
+def save_index(
+    index: SearchIndex, root: str, parsed: DataFrame | None = None,
+    stream: str | None = None, batch_id: int | None = None,
+) -> SearchIndex:
+    """Store a whole index as a new base under ``root`` and return it.
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+    Without a terms table the dictionary is counted from the stored postings.  ``parsed`` are the
+    documents with their entries, if they are at hand; else these are gathered from the postings.
+    """
+    spark = index.documents.sparkSession
+    previous = current_version(spark, root)
+    batch = previous.last + 1 if previous else 1
 
+    def written(table: str) -> DataFrame:
+        return _table(spark, root, table).filter(F.col("batch") == batch)
 
-def _store_commit(spark: SparkSession, root: str, commit: Commit) -> None:
-    path = _hadoop_path(spark, f"{root.rstrip('/')}/commits/v{commit.version:012d}.json")
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    try:
-        out = files.create(path, False)
-    except Py4JJavaError as error:
-        if "FileAlreadyExists" in str(error.java_exception):
-            raise CommitConflict(f"version {commit.version} of {root}") from error
-        raise
-    out.write(bytearray(json.dumps(asdict(commit)).encode()))
-    out.close()
+    _write(index.documents.select(*DOCUMENT_COLUMNS), root, "documents", batch)
+    tokens, next_doc_id = written("documents").agg(
+        F.coalesce(F.sum("total_terms"), F.lit(0)), F.coalesce(F.max("doc_id") + 1, F.lit(0))
+    ).first()
+    _write_buckets(index.postings.select(*POSTING_COLUMNS), root, "postings", batch, tokens)
+    entries = index.entries
+    if entries is None:  # of one document, so bounded by it
+        entries = index.postings.groupBy("doc_id").agg(F.collect_list(F.struct("term", "tf")).alias("entries"))
+    _write(entries.select("doc_id", "entries"), root, "entries", batch)
+    terms = index.terms
+    if terms is None:
+        terms = term_rows(written("postings").select("term", "tf"))
+    _write_words(terms, root, batch)
 
+    frequent = written("terms").filter(F.col("cf") * FREQUENT_TERMS >= tokens).select("term")
+    _write(frequent.coalesce(1), root, "frequent", batch)
+    words = [row[0] for row in written("frequent").select("term").collect()]
+    if parsed is None:
+        of_document = written("postings").filter(F.col("term").isin(words)).groupBy("doc_id")
+        parsed = of_document.agg(F.collect_list(F.struct("term", "positions")).alias("entries"))
+    _write_pairs(parsed, words, root, batch, tokens)
+    _write(spark.createDataFrame([], SCHEMAS["replaced"]), root, "replaced", batch)
+    next_doc_id = max(next_doc_id, previous.next_doc_id if previous else 0)
+    return _finish(spark, root, batch, batch, tokens, next_doc_id, stream, batch_id)
 
-def _commits(spark: SparkSession, root: str) -> list[Commit]:
-    """All versions; one small file each."""
-    try:
-        rows = spark.read.schema(COMMIT_SCHEMA).json(f"{root.rstrip('/')}/commits").collect()
-    except AnalysisException as error:  # the folder does not exist yet
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return [Commit(**row.asDict()) for row in rows if row["version"] is not None]
 
+def add_batch(
+    spark: SparkSession, root: str, batch: DataFrame, stream: str | None = None, batch_id: int | None = None
+) -> SearchIndex:
+    """Add or replace the batch's documents in the index under ``root``.
 
-def latest_commit(spark: SparkSession, root: str) -> Commit | None:
-    """The newest version, or None."""
-    return max(_commits(spark, root), key=lambda commit: commit.version, default=None)
+    Only the batch's own partitions are written.  Columns: filename, text, seq (the order of
+    arrival) and optionally filepath; all documents get new ids.
+    """
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no index under {root}")
+    parsed = parse_corpus(required_columns(batch), version.next_doc_id - 1)
+    index, number = _open(spark, root, version), version.last + 1
+    keys = parsed.select("doc_key")
+    replaced = settle(replaced_documents(index, broadcast_if(keys, measured(keys))), "replaced")
+    _write(replaced, root, "replaced", number)
+    _write(document_rows(parsed), root, "documents", number)
+    _write(document_entries(parsed), root, "entries", number)
+    tokens, last_id = parsed.agg(F.coalesce(F.sum("total_terms"), F.lit(0)), F.max("doc_id")).first()
+    _write_buckets(posting_rows(parsed), root, "postings", number, tokens)
+    _write_pairs(parsed, index.stored.frequent, root, number, tokens)
+    added = document_entries(parsed).select(F.inline("entries"))
+    removed = entries_of(index, replaced).select(F.inline("entries"))
+    deltas = term_deltas(added, 1).unionByName(term_deltas(removed, -1))
+    summed = deltas.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    # A term may gain one document and lose another; its grams are needed all the same.
+    _write_words(summed.filter("df <> 0 OR cf <> 0"), root, number)
+    _write(spark.createDataFrame([], SCHEMAS["frequent"]), root, "frequent", number)
+    next_doc_id = version.next_doc_id if last_id is None else last_id + 1
+    return _finish(spark, root, number, version.base, tokens, next_doc_id, stream, batch_id)
 
 
-def last_batch(spark: SparkSession, root: str, stream: str) -> int:
-    """Number of the last batch that a stream has stored, -1 before the first."""
-    own = (c.batch_id for c in _commits(spark, root) if c.stream == stream and c.batch_id is not None)
-    return max(own, default=-1)
+def required_columns(batch: DataFrame) -> DataFrame:
+    """The batch without ids of its own; it must say in which order its rows arrived."""
+    if "seq" not in batch.columns:
+        raise ValueError("a batch needs a column seq, the order of arrival")
+    return batch.drop("doc_id")
 
 
-def load_index(spark: SparkSession, root: str) -> SearchIndex:
-    """Open the newest version under ``root``."""
-    commit = latest_commit(spark, root)
-    if commit is None:
-        raise FileNotFoundError(f"no index under {root}")
-    return _open(spark, root, commit)
+def compact(spark: SparkSession, root: str) -> SearchIndex:
+    """Store the index anew as one base, without replaced documents and with its own buckets and
+    frequent terms.  Partitions of earlier batches may then be deleted."""
+    return save_index(load_index(spark, root), root)
+
+
+# Once per application ------------------------------------------------------------------
 
 
 def source_fingerprint(spark: SparkSession, path: str) -> str:

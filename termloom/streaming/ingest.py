@@ -8,10 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from termloom.operators.indexing import SearchIndex
 from termloom.operators.maintenance import ingest_report
 from termloom.session import settle
 from termloom.sources.corpus import read_named_files, stream_file_names
-from termloom.sources.index_store import add_batch, index_corpus, last_batch, latest_commit, load_index
+from termloom.sources.index_store import (
+    SCHEMAS,
+    add_batch,
+    current_version,
+    index_corpus,
+    last_batch,
+    load_index,
+)
 
 
 def ingest_stream(
@@ -19,10 +27,12 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Start a query that indexes the files under ``inbox`` and ends when all are processed.
 
-    Each micro-batch becomes one segment of the index under ``root``, and a report of its files,
-    unreadable ones included, is added to the table ``reports`` there.  Commits remember stream
-    and batch, so a batch repeated after a failure is not applied twice, and other streams into
-    the same root do not matter.  ``progress`` is the query's checkpoint folder.
+    The first files make the base of an index that is not there yet, and each later micro-batch
+    is a batch of it.  A report of its files, unreadable ones included, is a partition of the
+    table ``reports``, written before the batch counts: a micro-batch that fails in between is
+    done again and overwrites it, one that counts already is left alone.  Batches remember their
+    stream, so other streams into the same root, one at a time, do not matter.  ``progress`` is
+    the query's checkpoint folder.
     """
     names = stream_file_names(spark, inbox, files_per_batch)
 
@@ -31,17 +41,13 @@ def ingest_stream(
         stream = stream_identity(session, progress)
         if last_batch(session, root, stream) >= batch_id:
             return
-        files = [(row["path"], row["seq"]) for row in batch.collect()]  # at most files_per_batch
-        docs = settle(read_named_files(session, files), "arrived")
-        if latest_commit(session, root) is None:
-            empty = docs.limit(0).select("filename", "filepath", "text")
-            index_corpus(empty.withColumn("doc_id", F.lit(0).cast("bigint")), root)
-        report = ingest_report(load_index(session, root), docs).select(
-            F.lit(stream).alias("stream"), F.lit(batch_id).alias("batch_id"), "*"
-        )
-        report = settle(report, "report")  # as of the version before the batch
-        add_batch(session, root, docs, stream, batch_id)
-        report.write.mode("append").parquet(f"{root.rstrip('/')}/reports")
+        docs = settle(read_named_files(session, inbox, batch), "arrived")
+        empty = current_version(session, root) is None
+        write_report(_no_index(session) if empty else load_index(session, root), docs, root, stream, batch_id)
+        if empty:
+            index_corpus(docs, root, stream, batch_id)
+        else:
+            add_batch(session, root, docs, stream, batch_id)
 
     return (
         names.writeStream.foreachBatch(apply)
@@ -51,6 +57,17 @@ def ingest_stream(
     )
 
 
+def write_report(index: SearchIndex, docs: DataFrame, root: str, stream: str, batch_id: int) -> None:
+    """Overwrite the report of one micro-batch."""
+    path = f"{root.rstrip('/')}/reports/stream={stream}/batch_id={batch_id}"
+    ingest_report(index, docs).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def _no_index(spark: SparkSession) -> SearchIndex:
+    documents, terms, postings = (spark.createDataFrame([], SCHEMAS[t]) for t in ("documents", "terms", "postings"))
+    return SearchIndex(documents, terms, postings)
+
+
 def stream_identity(spark: SparkSession, progress: str) -> str:
     """The id that Spark gave the query with this checkpoint folder; a new folder has a new one."""
     stored = spark.read.text(f"{progress.rstrip('/')}/metadata").first()["value"]

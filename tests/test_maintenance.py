@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termloom import build_index, ingest_report, load_index, ranked_search, save_index, upsert
-from termloom.sources.index_store import latest_commit
+from termloom.sources.index_store import current_version
 
 BATCH = [
     ("UNO.txt", 1, "primera version"),
@@ -85,13 +85,13 @@ def test_repeated_arrival_is_reindexed(spark, golden_index):
 
 def test_versions(spark, golden_index, updated, tmp_path):
     root = str(tmp_path)
-    assert latest_commit(spark, root) is None
+    assert current_version(spark, root) is None
     with pytest.raises(FileNotFoundError):
         load_index(spark, root)
     first = save_index(golden_index, root)
     old = contents(first)
     second = save_index(upsert(first, spark.createDataFrame(BATCH, "filename string, seq bigint, text string")), root)
-    assert latest_commit(spark, root)["version"] == 2
+    assert current_version(spark, root).last == 2
     assert contents(load_index(spark, root)) == contents(second) == contents(updated)
     assert contents(first) == old
 

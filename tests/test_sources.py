@@ -3,7 +3,7 @@
 import uuid
 
 from termloom import build_index, load_index, ranked_search, read_text_files
-from termloom.sources.index_store import index_corpus, latest_commit
+from termloom.sources.index_store import current_version, index_corpus
 from termloom.streaming.ingest import ingest_stream
 
 
@@ -51,7 +51,7 @@ def test_stored_index_spreads_terms_over_buckets(spark, golden_docs, tmp_path, m
 
     monkeypatch.setattr(index_store, "TOKENS_PER_BUCKET", 5)
     index = index_corpus(golden_docs, str(tmp_path))
-    assert index.buckets == 5
+    assert index.stored.layouts == [3]
     assert search_one(spark, index, "queso AND cabra") == ["uno.txt"]
     assert search_one(spark, index, "CADENA(cabra come) OR PATRON(tint)") == ["dos.txt", "cuatro.txt"]
 
@@ -65,12 +65,12 @@ def test_ingest_stream(spark, tmp_path):
     ingest_stream(spark, str(inbox), root, progress).awaitTermination()
     first = load_index(spark, root)
     assert search_one(spark, first, "PATRON(ques) OR fresco") == ["a.txt"]
-    version = latest_commit(spark, root)["version"]
+    assert current_version(spark, root).last == 1
 
     write(inbox, "c.txt", "vino y queso")
     write(inbox, "A.txt", "pan")
     ingest_stream(spark, str(inbox), root, progress).awaitTermination()
     second = load_index(spark, root)
-    assert latest_commit(spark, root)["version"] == version + 1
+    assert current_version(spark, root).last == 2
     assert sorted(search_one(spark, second, "PATRON()")) == ["A.txt", "c.txt"]
     assert search_one(spark, second, "fresco") == []

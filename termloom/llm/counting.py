@@ -1,8 +1,8 @@
 """Token counts with a digest cache.
 
 The cache is a table (content, tokenizer, n_tokens) keyed by the SHA-256 of a text and of the
-tokenizer's version.  Counting joins texts to it, encodes each distinct text that it lacks once
-and appends the new counts, so that later runs encode new contents only.
+tokenizer's version.  Counting joins the digests of all texts to it, encodes each distinct text
+that it lacks once and appends the new counts, so that later runs encode new contents only.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from termloom.llm.encoding import load_tokenizer
-from termloom.llm.support import rows_map, texts_of
+from termloom.llm.support import lookup, rows_map, texts_of
+from termloom.session import Size, broadcast_if, settle
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens bigint"
 
@@ -74,24 +75,37 @@ def count_tokens(
 ) -> DataFrame:
     """Bytes and tokens of every text, by way of the cache in folder ``cache``.
 
-    ``tokenizer`` is the path of a ``.json`` or ``.model`` file.  Repeated rows are returned as
-    often as they occur; an empty table gives no rows.
+    Digests meet the cache first; only texts that it lacks are fetched and encoded, each distinct
+    one once, and their counts appended.  ``tokenizer`` is the path of a ``.json`` or ``.model``
+    file.  Repeated rows are returned as often as they occur; an empty table gives no rows.
 
     Returns doc_id, n_bytes, n_tokens.
     """
+    spark = docs.sparkSession
     texts = texts_of(docs, id_column, text_column).select("doc_id", normalised(F.col("text")).alias("text"))
     texts = texts.withColumn("content", F.unhex(F.sha2("text", 256)))
-    _append_misses(texts, tokenizer, cache)
-    counts = cached_counts(docs.sparkSession, cache, tokenizer)
     sizes = texts.select("doc_id", "content", F.octet_length("text").cast("bigint").alias("n_bytes"))
-    return sizes.join(counts, "content").select("doc_id", "n_bytes", "n_tokens")
+    sizes = settle(sizes, "digests")
+    wanted = settle(sizes.select("content").distinct(), "contents")
+    known = cached_counts(spark, cache, tokenizer)
+    misses = wanted if known is None else settle(wanted.join(known, "content", "left_anti"), "misses")
+    _append_counts(texts, misses, tokenizer, cache)
+    counts = settle(cached_counts(spark, cache, tokenizer).join(wanted, "content", "left_semi"), "counts")
+    return lookup(sizes, counts, ["content"]).select("doc_id", "n_bytes", "n_tokens")
 
 
-def _append_misses(texts: DataFrame, tokenizer: str, cache: str) -> None:
-    # Copies are reduced to one per task before any text moves.
+def _append_counts(texts: DataFrame, misses: DataFrame, tokenizer: str, cache: str) -> None:
+    """Encode the texts of the missing contents and add their counts to the cache.
+
+    Few misses are broadcast, so that known texts do not move.  Copies are reduced to one per
+    task before any text moves.
+    """
+    few = broadcast_if(misses, Size(misses.count(), 0).times(4))  # a digest is 32 bytes
+    if few is not misses:
+        texts = texts.join(few, "content", "left_semi")
     distinct = texts.groupBy("content").agg(F.first("text").alias("text"))
-    known = cached_counts(texts.sparkSession, cache, tokenizer)
-    misses = distinct if known is None else distinct.join(known, "content", "left_anti")
+    if few is misses:
+        distinct = distinct.join(misses, "content", "left_semi")
     stamp = tokenizer_version(tokenizer)
     schema = pa.schema([("content", pa.binary()), ("tokenizer", pa.string()), ("n_tokens", pa.int64())])
 
@@ -100,4 +114,4 @@ def _append_misses(texts: DataFrame, tokenizer: str, cache: str) -> None:
         for content, text in rows:
             yield content, stamp, count(text)
 
-    rows_map(misses.select("content", "text"), schema, make).write.mode("append").parquet(cache)
+    rows_map(distinct.select("content", "text"), schema, make).write.mode("append").parquet(cache)

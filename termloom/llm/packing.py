@@ -162,9 +162,9 @@ def _fill_exactly(supply: _Supply, capacity: int) -> None:
     for length in range(capacity, 0, -1):
         if not supply.counts[length]:
             continue
-        pairs = _pair_sums(supply.counts)
+        sums = _sums(supply.counts)
         while supply.counts[length]:
-            filling = next(_complements(supply, length, capacity - length, pairs), None)
+            filling = next(_complements(supply, length, capacity - length, *sums), None)
             if filling is None:
                 break
             lengths = (length, *filling)
@@ -174,18 +174,22 @@ def _fill_exactly(supply: _Supply, capacity: int) -> None:
             supply.emit([(n, 1) for n in lengths], times)
 
 
-def _pair_sums(counts: np.ndarray) -> np.ndarray:
-    """Which sums two available lengths reach.
+def _sums(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which sums two and three available lengths reach.
 
     Counts only fall, so an index made earlier never misses a sum.
     """
     there = (counts > 0).astype(float)
-    size = 2 * len(there)
-    return np.fft.irfft(np.fft.rfft(there, size) ** 2, size) > 0.5
+    size = 4 * len(there)
+    single = np.fft.rfft(there, size)
+    pairs = np.fft.irfft(single**2, size) > 0.5
+    # Sums of a third length and a sum of two; ones again, so that rounding stays far from a half.
+    triples = np.fft.irfft(np.fft.rfft(pairs.astype(float), size) * single, size) > 0.5
+    return pairs, triples
 
 
 def _complements(
-    supply: _Supply, length: int, gap: int, pairs: np.ndarray
+    supply: _Supply, length: int, gap: int, pairs: np.ndarray, triples: np.ndarray
 ) -> Iterator[tuple[int, ...]]:
     """Available combinations of no, one, two or three lengths that fill ``gap`` exactly."""
     counts = supply.counts
@@ -200,11 +204,11 @@ def _complements(
         return
     if supply.fills((length, gap)):
         yield (gap,)
-    if not pairs[gap] and gap < 3:
-        return
     for pair in pairs_of(gap, length) if pairs[gap] else ():
         if supply.fills((length, *pair)):
             yield pair
+    if not triples[gap]:
+        return
     largest = np.arange(min(gap - 2, length), (gap + 2) // 3 - 1, -1)
     for a in largest[(counts[largest] > 0) & pairs[gap - largest]].tolist():
         for pair in pairs_of(gap - a, a):

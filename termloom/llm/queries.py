@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from termloom.llm.bpe import encode_documents
 from termloom.llm.codebooks import compress_vectors
-from termloom.llm.counting import count_tokens
+from termloom.llm.counting import count_tokens, tokenizer_version
 from termloom.llm.divergence import audit_sources
 from termloom.llm.language import held_out, identify_languages, learn_languages
 from termloom.llm.multiset import as_text, fingerprint_edits, likeness
@@ -20,7 +20,7 @@ from termloom.llm.simhash import near_duplicates
 from termloom.llm.substrings import remove_repeats
 from termloom.llm.support import ship_package
 from termloom.llm.vectors import top_k
-from termloom.session import scratch_path
+from termloom.session import scratch_path, shared_folder
 
 CONTEXT_TOKENS = 4096
 
@@ -169,7 +169,8 @@ def op8_language_id(spark, sf_dir):
 
 def op9_token_counts(spark, sf_dir):
     tokenizer = public_tokenizers.path("piece_bpe_32k.model")
-    cache = scratch_path(spark, "token-counts")
+    # One folder for all runs; counts of another version of the tokenizer are others.
+    cache = f"{shared_folder(spark).rstrip('/')}/token-counts-{tokenizer_version(tokenizer)[:16]}"
     counts = count_tokens(_table(spark, sf_dir, "documents"), tokenizer, cache)
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 

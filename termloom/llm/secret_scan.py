@@ -1,10 +1,12 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Base patterns find assignments, access keys and hex runs.  The method adds what they miss: any
-other token-like string that looks random.  Every found value is known by its digest, and for
-each digest the distinct repositories and owners that hold it are counted over the corpus.  A
-value that several owners hold is a copied example; one that is particular to an owner and looks
-random is taken for a live credential.  Base spans stay whatever the count says.
+other string that mixes letters and digits like a token.  Every found value is known by its
+digest, and for each digest the distinct repositories and owners that hold it are counted over
+the corpus.  A repository is a distinct text, so exact copies count once, under one owner.  A
+value that several owners or many repositories hold is a copied example; any other is taken for
+a live credential.  The bar for candidates is low, as the counts decide: host names and version
+strings are found in many places.  Base spans stay whatever the count says.
 """
 
 from __future__ import annotations
@@ -22,13 +24,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.support import rows_map, unused
+from termloom.llm.support import lookup, rows_map, unused
 from termloom.session import settle
 
 # Distinct owners from which on a value counts as a widely copied example.
 EXAMPLE_OWNERS = 3
-# Bits of entropy per character from which on a string without a name looks random.
-RANDOM_BITS = 3.5
+# Distinct texts from which on it counts as one even if one owner holds them all.
+EXAMPLE_REPOSITORIES = 10
+# Bits of entropy per character from which on a string without a name may be a token.
+RANDOM_BITS = 2.5
 
 # The base patterns.
 _ASSIGN = re.compile(
@@ -41,7 +45,7 @@ _LEAST_ASSIGN, _LEAST_ACCESS = 12, 18
 _NAMES = ("password", "passwd", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "owned")
 
-_LOOSE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_LOOSE = re.compile(r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{12,}")
 
 _SPAN = pa.struct(
     [("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("digest", pa.binary())]
@@ -64,7 +68,7 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def loose_spans(text: str, base: list[tuple]) -> Iterator[tuple[int, int, int, str]]:
-    """Random-looking strings that overlap no base span."""
+    """Token-like strings that overlap no base span."""
     starts = [span[1] for span in base]
     reach = list(accumulate((span[2] for span in base), max))
     for match in _LOOSE.finditer(text):
@@ -115,9 +119,9 @@ def find_candidates(
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """(digest, n_repositories, n_owners): each document is a repository."""
+    """(digest, n_repositories, n_owners): each distinct text is a repository of one owner."""
     held = candidates.select(
-        F.explode("found.digest").alias("digest"), F.col("doc_id").alias("repository"), "owner"
+        F.explode("found.digest").alias("digest"), F.col("version").alias("repository"), "owner"
     )
     # Distinct pairs first, so that a value held everywhere is counted by many tasks.
     pairs = held.groupBy("digest", "repository").agg(F.min("owner").alias("owner"))
@@ -136,8 +140,8 @@ def scan_secrets(
 ) -> DataFrame:
     """Spans of secrets in every whole text.
 
-    Base spans are always reported; random-looking strings only if fewer than ``example_owners``
-    owners hold the value.  A null text is empty; a null owner is no owner.  Repeated rows are
+    Base spans are always reported; other token-like strings only if they are no example: fewer
+    than ``example_owners`` owners and EXAMPLE_REPOSITORIES distinct texts hold the value.  A null text is empty; a null owner is no owner.  Repeated rows are
     reported as often as they occur, an empty table gives no rows.
 
     Returns doc_id and spans: array of (kind, start, end, n_repositories, n_owners, is_example),
@@ -154,8 +158,9 @@ def scan_secrets(
 
 def _judged(candidates: DataFrame, example_owners: int) -> DataFrame:
     """One row per span with its counts; strings without a name only if they are no example."""
-    counts = ownership(candidates).withColumn("is_example", F.col("n_owners") >= example_owners)
-    spans = candidates.select("row", "doc_id", "version", F.inline("found")).join(counts, "digest")
+    copied = (F.col("n_owners") >= example_owners) | (F.col("n_repositories") >= EXAMPLE_REPOSITORIES)
+    counts = settle(ownership(candidates).withColumn("is_example", copied), "ownership")
+    spans = lookup(candidates.select("row", "doc_id", "version", F.inline("found")), counts, ["digest"])
     return spans.filter((F.col("kind") < 3) | ~F.col("is_example"))
 
 
@@ -164,6 +169,9 @@ def redact_secrets(
 ) -> DataFrame:
     """``docs`` (doc_id, text, source, n_chars and any others) with ``mark`` in place of every
     span that is not a widely copied example.
+
+    A null text stays null; repeated rows are treated alike, rows of one id by their own text; an
+    empty table stays empty.
     """
     spans = _judged(find_candidates(docs, "doc_id", "source", "text"), example_owners)
     name = unused(docs, "_spans")

@@ -33,7 +33,7 @@ def messy_texts():
         (None, passage, "en", "a"),
         (None, None, None, None),
         (16, "EXAMPLE aB3dE6gH9jK2mN5pQ8sT", "en", "a"),
-        (17, "EXAMPLE aB3dE6gH9jK2mN5pQ8sT", "en", "b"),
+        (17, "EXAMPLE aB3dE6gH9jK2mN5pQ8sT again", "en", "b"),
         (18, "EXAMPLE aB3dE6gH9jK2mN5pQ8sT more", "en", "c"),
     ]
     return [*rows, *((20 + i, prose(60), draw.choice(["en", "fr"]), "e") for i in range(20))]

@@ -152,7 +152,7 @@ def expand_patterns(index: SearchIndex, patterns: DataFrame) -> DataFrame:
     has_letter = F.col("pattern").rlike("[a-z]")
     grams = index.stored.grams if index.stored else settle(term_grams(index.terms), "grams")
     counts = index.stored.gram_counts if index.stored else grams.select("gram", F.lit(1).alias("n"))
-    counts = settle(counts.groupBy("gram").agg(F.sum("n").alias("n")), "gram-counts")
+    counts = counts.groupBy("gram").agg(F.sum("n").alias("n"))
     probes = settle(_with_rarest(wanted.filter(has_letter), counts), "probes")
     # Several grams of one list may lead to a term, and several batches may hold it.
     found = grams.join(broadcast_if(probes, measured(probes)), "gram").filter(fits).select("value", "term").distinct()

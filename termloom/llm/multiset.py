@@ -6,11 +6,12 @@ paragraphs does not matter, and adding or subtracting a paragraph's vector follo
 or deletion without reading the rest.
 
 The vector has two parts.  Lanes of 32 bits, from salted 64-bit hashes of the paragraph, decide
-equality.  Packed counters of 20 bits count, over the paragraph's phrases (up to eight words of
-a sentence), how often each bit of two phrase hashes is set; they are sums too, and the cosine of
-two counter vectors estimates how much of two texts is shared.
+equality.  Packed counters of 30 bits, more than a text has phrases, count over the paragraph's
+phrases (up to eight words of a sentence) how often each bit of two phrase hashes is set; they
+are sums too, and the cosine of two counter vectors estimates how much of two texts is shared.
 
-Only built-in columns are used.
+Only built-in columns are used: texts are exploded into paragraphs and phrases, whose vectors are
+summed up in columns before anything moves.
 """
 
 from __future__ import annotations
@@ -18,63 +19,60 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.session import hold, settle
+from termloom.session import settle
 
 SALTS = 4  # two lanes of 32 bits each
 SEEDS = 2  # phrase hashes; 60 of the bits of each are counted
 PHRASE = r"(?:[^\s.!?]+[^\S\n]*){1,8}[.!?]*|[.!?]+"  # never beyond its paragraph
 
 _LANE = (1 << 32) - 1
-_COUNTER = (1 << 20) - 1
-_SPREAD = 1 | 1 << 20 | 1 << 40  # three counters share a word
-_WORD = (1 << 60) - 1
-_SHIFTS = 20
-
-
-def _total(items: Column, value, mask: int) -> Column:
-    """Sum of ``value`` over an array, modulo ``mask + 1``."""
-    return F.aggregate(
-        items, F.lit(0).cast("bigint"), lambda sum_, item: (sum_ + value(item)).bitwiseAND(F.lit(mask))
-    )
+_COUNTER_BITS = 30
+_COUNTER = (1 << _COUNTER_BITS) - 1
+_SPREAD = 1 | 1 << _COUNTER_BITS  # two counters share a word
+_WORD = (1 << 2 * _COUNTER_BITS) - 1
 
 
 def with_fingerprint(df: DataFrame, name: str, text: Column, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` and the fingerprint of a text: struct of n (phrases), lanes and counters.
+    """Columns ``keep``, short ones, and the fingerprint of a text: struct of n (phrases), lanes and
+    counters.
 
-    A null text counts as an empty one, whose only paragraph is empty.
+    A null text counts as an empty one, whose only paragraph is empty.  If ``df`` is partitioned by
+    some of ``keep`` nothing is shuffled, otherwise one sum for each text.
     """
-    text = F.coalesce(text, F.lit(""))
-    cut = F.struct(
-        F.split(text, "\n").alias("paragraphs"),
-        F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0)).alias("phrases"),
-    )
-    df = hold(df, "_cut", cut, keep)
+    def items(kind: int, found: Column) -> Column:
+        return F.transform(found, lambda item: F.struct(F.lit(kind).alias("_kind"), item.alias("_item")))
 
-    def hashes(items: str, salt: int) -> Column:
-        return F.transform(f"_cut.{items}", lambda item: F.xxhash64(F.lit(salt), item))
+    row = F.monotonically_increasing_id().alias("_row")
+    texts = df.select(row, *keep, F.coalesce(text, F.lit("")).alias("_text"))
+    phrases = F.regexp_extract_all("_text", F.lit(PHRASE), F.lit(0))
+    both = F.concat(items(0, F.split("_text", "\n")), items(1, phrases))
+    parts = texts.select("_row", *keep, F.inline(both))
+
+    def hashes(kind: int, letter: str, salts: int) -> list[Column]:
+        return [
+            F.when(F.col("_kind") == kind, F.xxhash64(F.lit(salt), "_item")).alias(f"_{letter}{salt}")
+            for salt in range(salts)
+        ]
+
+    hashed = parts.select("_row", *keep, *hashes(0, "p", SALTS), *hashes(1, "q", SEEDS))
+
+    def total(value: Column, mask: int) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).bitwiseAND(F.lit(mask))
 
-    hashed = F.struct(
-        *(hashes("paragraphs", salt).alias(f"p{salt}") for salt in range(SALTS)),
-        *(hashes("phrases", salt).alias(f"q{salt}") for salt in range(SEEDS)),
-    )
-    df = hold(df, "_hashes", hashed, keep)
     halves = [
-        _total(F.col(f"_hashes.p{salt}"), half, _LANE)
+        total(half, _LANE)
         for salt in range(SALTS)
-        for half in (lambda h: h.bitwiseAND(F.lit(_LANE)), lambda h: F.shiftrightunsigned(h, 32))
+        for half in (F.col(f"_p{salt}").bitwiseAND(F.lit(_LANE)), F.shiftrightunsigned(f"_p{salt}", 32))
     ]
     counters = [
-        _total(
-            F.col(f"_hashes.q{salt}"),
-            lambda h, shift=shift: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(_SPREAD)),
-            _WORD,
-        )
+        total(F.shiftrightunsigned(f"_q{salt}", shift).bitwiseAND(F.lit(_SPREAD)), _WORD)
         for salt in range(SEEDS)
-        for shift in range(_SHIFTS)
+        for shift in range(_COUNTER_BITS)
     ]
-    n = F.size("_hashes.q0").cast("bigint")
-    value = F.struct(n.alias("n"), F.array(*halves).alias("lanes"), F.array(*counters).alias("counters"))
-    return hold(df, name, value, keep)
+    summed = hashed.groupBy("_row", *keep).agg(
+        F.count("_q0").alias("n"), F.array(*halves).alias("lanes"), F.array(*counters).alias("counters")
+    )
+    return summed.select(*keep, F.struct("n", "lanes", "counters").alias(name))
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:
@@ -102,11 +100,7 @@ def _signs(fingerprint: Column) -> Column:
     fields = F.flatten(
         F.transform(
             fingerprint["counters"],
-            lambda w: F.array(
-                w.bitwiseAND(F.lit(_COUNTER)),
-                F.shiftrightunsigned(w, 20).bitwiseAND(F.lit(_COUNTER)),
-                F.shiftrightunsigned(w, 40),
-            ),
+            lambda w: F.array(w.bitwiseAND(F.lit(_COUNTER)), F.shiftrightunsigned(w, _COUNTER_BITS)),
         )
     )
     return F.transform(fields, lambda x: (x * 2 - fingerprint["n"]).cast("double"))
@@ -168,22 +162,27 @@ def fingerprint_edits(
     n_chars = F.char_length("text").cast("bigint")
     chain = settle(next_documents(texts.select("id", "version", n_chars.alias("n_chars"))), "chain")
 
-    keyed = with_fingerprint(texts, "own", F.col("text"), ["id", "version", "text"])
+    # Texts move once; all that follows is joined where they are.
+    keys = ["id", "version"]
+    placed = texts.repartition(*keys)
+    prints = settle(with_fingerprint(placed, "own", F.col("text"), keys).dropDuplicates(keys), "prints")
     given = chain.select(
         F.col("next_id").alias("id"), F.col("next_version").alias("version"),
         F.col("id").alias("to_id"), F.col("version").alias("to_version"), "n_chars",
     )
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    passed = keyed.join(given, ["id", "version"]).select(
-        F.col("to_id").alias("id"), F.col("to_version").alias("version"),
-        F.struct(F.left("text", half).alias("start"), F.col("own").alias("print")).alias("following"),
+    passed = placed.join(given, keys).select(
+        F.col("to_id").alias("id"), F.col("to_version").alias("version"), F.left("text", half).alias("start")
     )
-    passed = passed.groupBy("id", "version").agg(F.first("following").alias("following"))
-    joined = keyed.join(passed, ["id", "version"])
+    passed = passed.groupBy(*keys).agg(F.first("start").alias("start"))
     kept = F.left("text", (n_chars - F.floor(n_chars / 2)).cast("int"))
-    edited = joined.select(
-        F.nullif("id", F.lit(nothing)).alias("doc_id"), n_chars.alias("n_chars"), "own",
-        F.concat(kept, "following.start").alias("edited"),
-        F.col("following.print").alias("following"),
+    edited = placed.join(passed, keys).select(
+        *keys, n_chars.alias("n_chars"), F.concat(kept, "start").alias("edited")
+    )
+    changed = with_fingerprint(edited, "changed", F.col("edited"), keys).dropDuplicates(keys)
+    after = prints.select(F.col("id").alias("next_id"), F.col("version").alias("next_version"), F.col("own").alias("following"))
+    after = chain.join(after, ["next_id", "next_version"]).select(*keys, "following")
+    joined = edited.join(changed, keys).join(prints, keys).join(after, keys)
+    return joined.select(
+        F.nullif("id", F.lit(nothing)).alias("doc_id"), "n_chars", "edited", "own", "changed", "following"
     )
-    return with_fingerprint(edited, "changed", F.col("edited"), edited.columns)

@@ -1,4 +1,5 @@
 import random
+import re
 
 import brute
 import duckdb
@@ -7,7 +8,7 @@ import pytest
 from messy_texts import messy_texts
 from pyspark.sql import functions as F
 from termloom.llm.language import UNDETERMINED, held_out, identify_languages, keep_determined, learn_languages
-from termloom.llm.multiset import as_text, combined, fingerprint_edits, likeness, with_fingerprint
+from termloom.llm.multiset import PHRASE, as_text, combined, fingerprint_edits, likeness, with_fingerprint
 from termloom.llm.queries import llm_oracle_sql, llm_queries
 from termloom.llm.secret_scan import KINDS, redact_secrets, scan_secrets
 from termloom.llm.simhash import components, golay_keys, keep_one, links, near_duplicates
@@ -172,6 +173,54 @@ def test_order_does_not_matter_and_parts_add_up(spark):
     assert (row["sum"], row["difference"]) == (prints["ab"], prints["a"])
 
 
+def test_counters_hold_a_million_equal_lines(spark):
+    lines = spark.range(1).select(
+        F.lit("many").alias("name"),
+        F.repeat(F.lit("ok.\n"), 1 << 20).alias("a"),
+        F.repeat(F.lit("ok.\n"), (1 << 20) - 1).alias("b"),
+    )
+    a = with_fingerprint(lines, "pa", F.col("a"), ["name"])
+    b = with_fingerprint(lines, "pb", F.col("b"), ["name"])
+    row = a.join(b, "name").select("pa.n", likeness(F.col("pa"), F.col("pb")).alias("near")).first()
+    assert row["n"] == 1 << 20 and row["near"] > 0.999
+
+
+def test_fingerprints_equal_plain_sums(messy):
+    def plain(text):
+        lanes = [0] * 8
+        for line in text.split("\n"):
+            for salt in range(4):
+                h = spark_hash(salt, line)
+                lanes[2 * salt] = (lanes[2 * salt] + (h & 0xFFFFFFFF)) & 0xFFFFFFFF
+                lanes[2 * salt + 1] = (lanes[2 * salt + 1] + (h >> 32)) & 0xFFFFFFFF
+        phrases = re.findall(PHRASE, text)
+        counts = [[sum(spark_hash(seed, q) >> bit & 1 for q in phrases) for bit in range(60)] for seed in range(2)]
+        return len(phrases), lanes, counts
+
+    docs = [(i, t or "") for i, t, _, _ in messy_texts() if i is not None and len(t or "") < 2000]
+    got = {}
+    for r in fingerprint_edits(messy).collect():
+        got.setdefault(r.doc_id, []).append(r.own)
+    for i, text in docs:
+        n, lanes, counts = plain(text)
+        packed = [counts[seed][s] | counts[seed][s + 30] << 30 for seed in range(2) for s in range(30)]
+        assert any((own.n, own.lanes, own.counters) == (n, lanes, packed) for own in got[i])
+
+
+def spark_hash(salt, text):
+    """xxhash64 of an int column and a string column, as Spark chains them."""
+    import xxhash
+
+    mask = (1 << 64) - 1
+    p1, p2, p3 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+    h = (42 + 0x27D4EB2F165667C5 + 4) & mask
+    h ^= (salt & 0xFFFFFFFF) * p1 & mask
+    h = ((h << 23 | h >> 41) & mask) * p2 + p3 & mask
+    h = (h ^ h >> 33) * p2 & mask
+    h = (h ^ h >> 29) * p3 & mask
+    return xxhash.xxh64_intdigest(text.encode(), h ^ h >> 32)
+
+
 def test_fingerprint_plan_is_native(messy):
     plan = fingerprint_edits(messy)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -273,24 +273,33 @@ def bucket_of(term: Column, bits: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.pow(F.lit(2), bits).cast("bigint")).cast("int")
 
 
-def probe_postings(index: SearchIndex, terms: DataFrame, columns: list[str]) -> DataFrame:
+def probe_postings(
+    index: SearchIndex, terms: DataFrame, columns: list[str], only: list[str] | None = None
+) -> DataFrame:
     """Join rows that have a ``term`` with the postings of that term.
 
     On a stored index the join also runs on the bucket, so that the partitions without any
     wanted term are pruned while the query runs, and replaced documents are left out of what
-    was found.
+    was found.  ``only`` names the terms if they are known to be few; the files, sorted by term,
+    are then read only where these are.
     """
     if not index.stored:
         return index.postings.select("term", *columns).join(terms, "term")
-    return _probe(index.stored, index.stored.postings, terms, columns)
+    return _probe(index.stored, index.stored.postings, terms, columns, only)
 
 
-def probe_pairs(index: SearchIndex, pairs: DataFrame, columns: list[str]) -> DataFrame:
+def probe_pairs(
+    index: SearchIndex, pairs: DataFrame, columns: list[str], only: list[str] | None = None
+) -> DataFrame:
     """:func:`probe_postings` for pairs of frequent terms, with both words as ``term``."""
-    return _probe(index.stored, index.stored.pairs, pairs, columns)
+    return _probe(index.stored, index.stored.pairs, pairs, columns, only)
 
 
-def _probe(stored: StoredTables, table: DataFrame, terms: DataFrame, columns: list[str]) -> DataFrame:
+def _probe(
+    stored: StoredTables, table: DataFrame, terms: DataFrame, columns: list[str], only: list[str] | None
+) -> DataFrame:
+    if only is not None:
+        table = table.filter(F.col("term").isin(only))
     keyed = terms.filter(F.col("term") > "").withColumn("bits", F.explode(F.array(*map(F.lit, stored.layouts))))
     keyed = keyed.withColumn("bucket", bucket_of(F.col("term"), F.col("bits")))
     rows = table.select("bits", "bucket", "term", *columns)

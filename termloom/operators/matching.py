@@ -20,6 +20,9 @@ HIT_COLUMNS = ["query_id", "leaf_id", "doc_id"]
 # Letters of a gram, by which patterns are looked up in the dictionary, and what fills up the last.
 GRAM_LENGTH = 3
 PADDING = "$"
+# Terms of phrases up to which the files are searched for them by name; with more the answer is
+# the same.
+LITERAL_TERMS = 200
 
 
 def leaf_values(leaves: DataFrame, kind: str) -> DataFrame:
@@ -221,13 +224,21 @@ def phrase_parts(phrases: DataFrame, frequent: list[str]) -> DataFrame:
     return phrases.select("phrase_id", F.size("parts").alias("n_parts"), F.inline("parts"))
 
 
-def _probe_parts(index: SearchIndex, parts: DataFrame, size: Size, columns: list[str]) -> DataFrame:
+def _few_parts(parts: DataFrame) -> tuple[list[str], list[str]] | tuple[None, None]:
+    """Terms and pairs by name, if there are few."""
+    rows = parts.select("term", "is_pair").distinct().limit(LITERAL_TERMS + 1).collect()
+    if len(rows) > LITERAL_TERMS:
+        return None, None
+    return [row[0] for row in rows if not row[1]], [row[0] for row in rows if row[1]]
+
+
+def _probe_parts(index: SearchIndex, parts: DataFrame, size: Size, columns: list[str], few: tuple) -> DataFrame:
     """Postings of phrase parts, from the pairs of a stored index or from its terms."""
     singles = parts.filter(~F.col("is_pair")).drop("is_pair")
-    found = probe_postings(index, broadcast_if(singles, size), columns)
+    found = probe_postings(index, broadcast_if(singles, size), columns, few[0])
     if index.stored and index.stored.frequent:
         pairs = parts.filter("is_pair").drop("is_pair")
-        found = found.unionByName(probe_pairs(index, broadcast_if(pairs, size), columns))
+        found = found.unionByName(probe_pairs(index, broadcast_if(pairs, size), columns, few[1]))
     return found
 
 
@@ -258,8 +269,9 @@ def match_phrases(
 
     # Only documents of a phrase's rarest part can hold it; both sides of this join, and the
     # grouping behind it, share the distribution by (phrase_id, doc_id).
-    entries = _probe_parts(index, wanted, size_of_parts, ["doc_id", "positions"])
-    candidates = _phrase_candidates(index, wanted, size_of_parts)
+    few = _few_parts(wanted)
+    entries = _probe_parts(index, wanted, size_of_parts, ["doc_id", "positions"], few)
+    candidates = _phrase_candidates(index, wanted, size_of_parts, few)
     entries = entries.join(candidates, ["phrase_id", "doc_id"], "left_semi")
 
     gathered = entries.groupBy("phrase_id", "doc_id").agg(
@@ -283,7 +295,7 @@ def _starts(entry: Column) -> Column:
     return F.transform(entry["positions"], lambda pos: pos - entry["at"])
 
 
-def _phrase_candidates(index: SearchIndex, wanted: DataFrame, size: Size) -> DataFrame:
+def _phrase_candidates(index: SearchIndex, wanted: DataFrame, size: Size, few: tuple) -> DataFrame:
     """Documents of each phrase's rarest part: ``(phrase_id, doc_id)``.
 
     The dictionary gives their number, replaced documents of pairs included, before any posting is
@@ -303,7 +315,7 @@ def _phrase_candidates(index: SearchIndex, wanted: DataFrame, size: Size) -> Dat
     )
     rarest = settle(rarest, "rarest")
     n_candidates = rarest.agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
-    hits = _probe_parts(index, rarest.select("phrase_id", "term", "is_pair"), size, ["doc_id"])
+    hits = _probe_parts(index, rarest.select("phrase_id", "term", "is_pair"), size, ["doc_id"], few)
     return broadcast_if(hits.select("phrase_id", "doc_id"), Size(n_candidates))
 
 

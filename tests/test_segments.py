@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_maintenance import BATCH, FINAL, contents
 
 from termloom import build_index, ingest_report, load_index, match_phrases, parse_query_log, ranked_search, read_text_files, upsert
+from termloom.operators import matching
 from termloom.operators.matching import expand_patterns, leaf_values, match_patterns
 from termloom.session import settle
 from termloom.sources import index_store
@@ -141,9 +142,13 @@ def test_phrases_of_frequent_words_use_pairs(spark, tmp_path, monkeypatch):
     names = index.documents.select("doc_id", "filename")
     got = {(r.query_id, r.filename) for r in match_phrases(index, leaves).join(names, "doc_id").collect()}
     assert got == {(i, name) for i, p in enumerate(phrases) for name, text in texts.items() if f" {p} " in f" {text} "}
+    # A phrase of two frequent words reads their pair and neither word's positions.
     only = settle(parse_query_log(log.filter("query_id = 0")))
-    match_phrases(index, only).collect()
-    assert index.stored.pairs.count() < index.postings.agg(F.sum("tf")).first()[0]
+    text = plan(match_phrases(index, only))
+    assert "EqualTo(term,uno dos)" in text or "In(term, [uno dos])" in text
+    assert "EqualTo(term,uno)" not in text and "uno," not in text
+    monkeypatch.setattr(matching, "LITERAL_TERMS", 0)
+    assert match_phrases(index, only).count() == sum(query_id == 0 for query_id, _ in got)
 
 
 def test_batch_needs_an_order_and_gets_its_own_ids(spark, golden_index, stored):

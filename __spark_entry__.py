@@ -54,17 +54,13 @@ from termloom.session import hold, measured, settle, spread
 from termloom.sources.corpus import table_documents
 from termloom.sources.index_store import index_once
 
-try:  # the operators for training data are an optional part
+try:  # the operators for training data are an optional part, with libraries of their own
     from termloom.llm.queries import llm_oracle_sql, llm_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("termloom.llm", "termloom.llm.queries"):
-        raise
+except ImportError:
     llm_queries = llm_oracle_sql = dict
 try:
     from corpus_pipeline import pipeline_oracle_sql, pipeline_queries
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "termloom.llm"):
-        raise
+except ImportError:
     pipeline_queries = pipeline_oracle_sql = dict
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -128,6 +124,50 @@ def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.unionByName(passages)
 
 
+def _mixed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrivals for each document: a new name with an accent and capitals; the same name
+    without them, its text null, without a letter, of stopwords or changed; the old name, its text
+    without a token or longer."""
+    docs = _table(spark, sf_dir, "documents")
+    number, text = F.col("doc_id").cast("string"), F.col("text")
+    kind, half = F.pmod("doc_id", F.lit(4)), F.pmod("doc_id", F.lit(2))
+    changed = (
+        F.when(kind == 0, F.lit(None).cast("string")).when(kind == 1, "12 34").when(kind == 2, "de la")
+        .otherwise(F.concat(F.lit("otra "), text))
+    )
+    arrivals = (
+        (F.concat(F.lit("Árbol-"), number, F.lit(".TXT")), 0, text),
+        (F.concat(F.lit("arbol-"), number, F.lit(".txt")), 1, changed),
+        (number, 2, F.when(half == 0, "...").otherwise(F.concat(text, F.lit(" nuevo")))),
+    )
+    rows = F.array(
+        *(F.struct(n.alias("filename"), F.lit(s).cast("bigint").alias("seq"), t.alias("text")) for n, s, t in arrivals)
+    )
+    return docs.select(F.inline(rows))
+
+
+def _mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query made of two words of every conversation turn: a negation, a phrase, a pattern, blanks,
+    stopwords or a malformed one."""
+    turns = _table(spark, sf_dir, "conversations")
+    number = F.expr("(conv_id + turn) * (conv_id + turn + 1) div 2 + turn").alias("query_id")
+    words = F.split(F.regexp_replace("text", "[^A-Za-z ]", ""), " ")
+    words = F.filter(words, lambda w: ~F.lower(w).isin("", "and", "or", "not"))
+    turns = hold(turns.select(number, "text"), "words", words, ["query_id"])
+    first = F.coalesce(F.get("words", 0), F.lit("pan"))
+    second = F.coalesce(F.get("words", 1), F.lit("vino"))
+    shape = F.pmod("query_id", F.lit(6))
+    q = (
+        F.when(shape == 0, F.concat(F.lit("NOT "), first, F.lit(" AND "), second))
+        .when(shape == 1, F.concat(F.lit('CADENA("'), first, F.lit(" "), second, F.lit('")')))
+        .when(shape == 2, F.concat(F.lit("PATRON("), F.left(first, F.lit(4)), F.lit(")")))
+        .when(shape == 3, F.lit("   "))
+        .when(shape == 4, F.lit("de la"))
+        .otherwise(F.concat(first, F.lit(" AND")))
+    )
+    return turns.select("query_id", q.alias("q"))
+
+
 def _rounded(results: DataFrame) -> DataFrame:
     for name in ("score", "cosine_sim", "doc_magnitude", "idf", "query_weight", "query_magnitude"):
         if name in results.columns:
@@ -373,6 +413,32 @@ def q_ingest_report(spark, sf_dir):
     return ingest_report(_index(spark, sf_dir), _batch(spark, sf_dir))
 
 
+def q_mixed_batch_report(spark, sf_dir):
+    return ingest_report(_index(spark, sf_dir), _mixed_batch(spark, sf_dir))
+
+
+def q_mixed_batch_index(spark, sf_dir):
+    index = upsert(_index(spark, sf_dir), _mixed_batch(spark, sf_dir))
+    return _rounded(index.documents.select("filename", "doc_key", "snippet", "total_terms", "doc_magnitude"))
+
+
+def q_mixed_batch_terms(spark, sf_dir):
+    return upsert(_index(spark, sf_dir), _mixed_batch(spark, sf_dir)).terms
+
+
+def q_mixed_log_status(spark, sf_dir):
+    return query_status(_mixed_log(spark, sf_dir))
+
+
+def q_mixed_log_leaves(spark, sf_dir):
+    return parse_query_log(_mixed_log(spark, sf_dir))
+
+
+def q_mixed_log_search(spark, sf_dir):
+    leaves = settle(parse_query_log(_mixed_log(spark, sf_dir)))
+    return search(_index(spark, sf_dir), leaves)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: rank the whole sample log over the smoke corpus."""
     return q_ranked_search(spark, SMOKE_DIR)

@@ -223,24 +223,74 @@ _PHRASES = f"""
            array_to_string({_tokens('text')}, ' ') AS value, FALSE AS negated
     FROM benchmark"""
 
-# The corpus after the batch: the last valid text of every key.
-_FINAL = f"""
-    arrivals AS (
+_ARRIVALS = """
         SELECT conv_id::VARCHAR AS filename, turn AS seq, text FROM conversations
         UNION ALL
-        SELECT 'Item-' || item_id, 0, text FROM benchmark),
+        SELECT 'Item-' || item_id, 0, text FROM benchmark"""
+_MIXED_ARRIVALS = """
+        SELECT 'Árbol-' || doc_id || '.TXT' AS filename, 0::BIGINT AS seq, text FROM documents
+        UNION ALL
+        SELECT 'arbol-' || doc_id || '.txt', 1,
+               CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '12 34' WHEN 2 THEN 'de la' ELSE 'otra ' || text END
+        FROM documents
+        UNION ALL
+        SELECT doc_id::VARCHAR, 2, CASE doc_id % 2 WHEN 0 THEN '...' ELSE text || ' nuevo' END FROM documents"""
+
+
+def _final(arrivals: str) -> str:
+    """The corpus after a batch: the last valid text of every key."""
+    return f"""
+    arrivals AS (
+        SELECT *, strip_accents(lower(filename)) AS doc_key FROM ({arrivals})),
     valid AS (SELECT * FROM arrivals WHERE len({_tokens('text')}) > 0),
     newest AS (
         SELECT * FROM valid
-        QUALIFY row_number() OVER (PARTITION BY lower(filename) ORDER BY seq DESC) = 1),
+        QUALIFY row_number() OVER (PARTITION BY doc_key ORDER BY seq DESC) = 1),
     final AS (
-        SELECT filename, text FROM newest
+        SELECT filename, doc_key, text FROM newest
         UNION ALL
-        SELECT doc_id::VARCHAR, text FROM documents
-        WHERE doc_id::VARCHAR NOT IN (SELECT lower(filename) FROM newest))"""
+        SELECT doc_id::VARCHAR, doc_id::VARCHAR, text FROM documents
+        WHERE doc_id::VARCHAR NOT IN (SELECT doc_key FROM newest))"""
+
+
+_FINAL, _MIXED_FINAL = _final(_ARRIVALS), _final(_MIXED_ARRIVALS)
 _FINAL_INDEX = _index("final", "filename")
 
 
+def _report(final: str) -> str:
+    return _with(final) + f"""
+            SELECT doc_key, seq, CASE
+                WHEN text IS NULL THEN 'failed'
+                WHEN len({_tokens('text')}) = 0 THEN 'skipped'
+                WHEN doc_key IN (SELECT doc_id::VARCHAR FROM documents WHERE len({_tokens('text')}) > 0)
+                     OR seq > (SELECT min(seq) FROM valid v WHERE v.doc_key = arrivals.doc_key)
+                THEN 're-indexed' ELSE 'indexed' END AS status
+            FROM arrivals"""
+
+
+# Two words of every conversation turn, and the leaves of the query that is made of them.
+_MIXED_WORDS = """
+    words AS (
+        SELECT query_id, coalesce(w[1], 'pan') AS w1, coalesce(w[2], 'vino') AS w2
+        FROM (SELECT (conv_id + turn) * (conv_id + turn + 1) // 2 + turn AS query_id,
+                     list_filter(string_split(regexp_replace(text, '[^A-Za-z ]', '', 'g'), ' '),
+                                 lambda x: lower(x) NOT IN ('', 'and', 'or', 'not')) AS w
+              FROM conversations))"""
+_MIXED_LEAVES = f"""
+    leaves AS (
+        SELECT query_id, 0 AS disjunct_id, 1 AS leaf_id, 'term' AS kind, {_tokens('w1')}[1] AS value, TRUE AS negated
+        FROM words WHERE query_id % 6 = 0
+        UNION ALL
+        SELECT query_id, 0, 2, 'term', {_tokens('w2')}[1], FALSE FROM words WHERE query_id % 6 = 0
+        UNION ALL
+        SELECT query_id, 0, 1, 'phrase', array_to_string({_tokens("w1 || ' ' || w2")}, ' '), FALSE
+        FROM words WHERE query_id % 6 = 1
+        UNION ALL
+        SELECT query_id, 0, 1, 'pattern', lower(left(w1, 4)), FALSE FROM words WHERE query_id % 6 = 2
+        UNION ALL
+        SELECT query_id, unnest([0, 1]), unnest([1, 2]), 'term', NULL, FALSE FROM words WHERE query_id % 6 = 4)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "normalize_tokens":
@@ -280,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
         "batch_ranked_search":
             _ranked(_log_leaves(_PASSAGES), "SELECT * FROM ranked", hits=_TERM_HITS),
         "upsert_index": _with(_FINAL, _FINAL_INDEX) + """
-            SELECT filename, lower(filename) AS doc_key, left(text, 250) AS snippet, total_terms,
+            SELECT filename, doc_key, left(text, 250) AS snippet, total_terms,
                    round(doc_magnitude, 8) AS doc_magnitude
             FROM stats JOIN final ON filename = doc_id""",
         "upsert_postings": _with(_FINAL, _FINAL_INDEX)
@@ -289,17 +339,20 @@ def oracle_sql() -> dict[str, str]:
         "orphan_purge": _with(_FINAL, _FINAL_INDEX) + f"""
             SELECT DISTINCT term FROM (SELECT unnest({_tokens('text')}) AS term FROM documents)
             WHERE term NOT IN (SELECT term FROM dict)""",
-        "ingest_report": _with(_FINAL) + f"""
-            SELECT lower(filename) AS doc_key, seq, CASE
-                WHEN text IS NULL THEN 'failed'
-                WHEN len({_tokens('text')}) = 0 THEN 'skipped'
-                WHEN lower(filename) IN (SELECT doc_id::VARCHAR FROM documents
-                                         WHERE len({_tokens('text')}) > 0)
-                     OR seq > (SELECT min(seq) FROM valid v
-                               WHERE lower(v.filename) = lower(arrivals.filename))
-                THEN 're-indexed' ELSE 'indexed' END AS status
-            FROM arrivals""",
+        "ingest_report": _report(_FINAL),
+        "mixed_batch_report": _report(_MIXED_FINAL),
+        "mixed_batch_terms": _with(_MIXED_FINAL, _FINAL_INDEX) + "SELECT term, df, cf FROM dict",
+        "mixed_log_status": _with(_MIXED_WORDS, _MIXED_LEAVES, _QUERY_TERMS) + """
+            SELECT query_id, CASE query_id % 6
+                WHEN 3 THEN 'blank' WHEN 5 THEN 'malformed' ELSE CASE
+                WHEN query_id NOT IN (SELECT query_id FROM query_terms) THEN 'no_scoring_terms'
+                ELSE 'ok' END END AS status
+            FROM words""",
+        "mixed_log_leaves": _with(_MIXED_WORDS, _MIXED_LEAVES) + "SELECT * FROM leaves",
+        "mixed_log_search": _with(_index(), _MIXED_WORDS, _MIXED_LEAVES, _HITS, _MATCHES)
+        + "SELECT * FROM matches",
     }
+    sql["mixed_batch_index"] = sql["upsert_index"].replace(_FINAL, _MIXED_FINAL)
     sql["stored_postings"] = sql["postings"]
     sql["stored_terms"] = sql["term_dictionary"]
     sql["term_lookup"] = _with(_index()) + "SELECT doc_id FROM post WHERE term = 'the'"

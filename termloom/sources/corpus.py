@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +17,24 @@ def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+@lru_cache(maxsize=1)
+def _bare_letters() -> dict[str, str]:
+    """Letters with accents, and the letter without them; accents on their own are left out."""
+    bare = {chr(code): "" for code in range(0x300, 0x370)}
+    for code in range(0xC0, 0x2000):
+        first, *marks = unicodedata.normalize("NFD", chr(code))
+        if marks and all(unicodedata.combining(mark) for mark in marks):
+            bare[chr(code)] = first
+    return bare
+
+
 def document_key(filename: Column) -> Column:
-    """Identity of a document: its file name, letter case ignored."""
-    return F.lower(filename)
+    """Identity of a document: its file name, letter case and accents ignored."""
+    bare = _bare_letters()
+    kept = {char: base for char, base in bare.items() if base}
+    gone = [char for char, base in bare.items() if not base]
+    plain = F.translate(F.lower(filename), "".join([*kept, *gone]), "".join(kept.values()))
+    return F.when(F.octet_length(filename) == F.char_length(filename), F.lower(filename)).otherwise(F.lower(plain))
 
 
 def _file_columns(files: DataFrame, text: Column) -> DataFrame:

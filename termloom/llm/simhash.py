@@ -129,7 +129,10 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
 
 
 def links(nodes: DataFrame, max_bits: int) -> DataFrame:
-    """Enough links (a, b), a < b, between distinct fingerprints to join all that are linked."""
+    """Enough links (a, b), a < b, between distinct fingerprints to join all that are linked.
+
+    An empty table has none.
+    """
     keys = _keys(nodes)
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = settle(keys.join(sizes, "key"), "keys")
@@ -161,7 +164,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has an edge and is not the smallest of its component.
 
     Edges (a, b) are rewired to smaller ends, by turns over larger and over smaller neighbours,
-    until every node hangs on the smallest one.  Each round is a written table.
+    until every node hangs on the smallest one.  Each round is a written table.  Repeated edges
+    count once; without any edge there is no row.
     """
     edges = settle(edges.select(F.col("b").alias("node"), F.col("a").alias("root")), "edges")
     state = _digest(edges)

@@ -1,15 +1,16 @@
 """Substring deduplication by level-wise doubling.
 
-First level, half the length: of the half-windows inside each full window the one with the
-smallest hash is its anchor.  Equal windows have equal anchors, so only anchors that occur in
-two documents survive, a small part of all positions.
+First level, half the length (rounded down): of the half-windows inside each full window the one
+with the smallest hash is its anchor.  Equal windows have equal anchors, so only anchors that
+occur in two documents survive, a small part of all positions, and no repeated window is lost.
 
-Second level, the full length: a surviving anchor is extended to the words around it, as far as
+Second level, the full length, twice the first (and one word more if it is odd): a surviving anchor is extended to the words around it, as far as
 any full window with that anchor reaches (its context).  Documents that share a context share
 all of these windows, and the first of them stands for all.  Only where one anchor has several
 contexts are the windows themselves compared, once for each context, not for each copy.
 
-Hashes that decide are 128 bits wide.
+Windows that are compared between documents are told apart by 128 bits, and so are anchors with
+their contexts; which words of a document go is then found by 64 bits among its own windows.
 """
 
 from __future__ import annotations
@@ -110,8 +111,8 @@ def remove_repeats(
 
     Returns doc_id, n_words, n_removed and kept (the words left, joined by one space).
     """
-    if length < 2 or length % 2:
-        raise ValueError("the length is reached by doubling, so it must be even")
+    if length < 2:
+        raise ValueError("a window has two words at least")
     texts = texts_of(docs, id_column, text_column)
     marks = _marks(texts, length)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])

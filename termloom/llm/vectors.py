@@ -115,7 +115,9 @@ def top_k(
     id; a repeated row is a candidate once for each occurrence, and of query rows of one id the
     smallest vector asks.  Ties go to the smaller id.
     Vectors that are null, empty or hold a null or non-finite component, rows without an id, and
-    queries of another length than the candidates take no part.  Scores must fit 63 bits.
+    queries of another length than the candidates take no part: vectors of each width meet their
+    own.  Other columns, whatever their names, are left behind.  An empty table gives no rows.
+    Scores must fit 63 bits.
 
     Returns query_id, rank (int, from 1), vec_id, score.
     """

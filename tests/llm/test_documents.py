@@ -23,7 +23,7 @@ def key(doc_id):
 # Substrings ----------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("length", [2, 4, 10, 50])
+@pytest.mark.parametrize("length", [2, 7, 10, 50, 51])
 def test_repeats_are_removed(messy, length):
     docs = [(i, t) for i, t, _, _ in messy_texts()]
     want = sorted((key(i), *row) for (i, _), row in zip(docs, brute.without_repeats(docs, length)))
@@ -40,9 +40,9 @@ def test_repeats_in_random_texts(spark):
         assert got == {i: row for (i, _), row in zip(docs, brute.without_repeats(docs, 8))}
 
 
-def test_odd_length_is_refused(messy):
+def test_length_of_one_word_is_refused(messy):
     with pytest.raises(ValueError):
-        remove_repeats(messy, 7)
+        remove_repeats(messy, 1)
 
 
 def test_dropped_repeats_keep_all_columns(messy):
@@ -107,7 +107,16 @@ def test_near_duplicates(messy):
     assert sorted((key(r.doc_id), r.fingerprint & (2**64 - 1), key(r.component_id)) for r in got) == want
 
 
+def test_no_links_and_no_components(spark):
+    none = spark.createDataFrame([], "fingerprint bigint")
+    assert links(none, 2).count() == 0
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+    again = spark.createDataFrame([(1, 2), (1, 2), (2, 3)], "a bigint, b bigint")
+    assert sorted(tuple(r) for r in components(again).collect()) == [(2, 1), (3, 1)]
+
+
 def test_near_duplicates_of_nothing(no_docs):
+    assert keep_one(no_docs).count() == 0
     assert near_duplicates(no_docs).count() == 0
 
 
@@ -134,7 +143,18 @@ def test_redaction_keeps_columns_and_examples(messy):
     assert all(r.n_chars == len(r.text or "") for r in rows)
 
 
+def test_an_example_of_one_owner_is_known_by_its_many_texts(spark):
+    rows = [(i, f"example number {i} Zz91Kq83Lm27Xp45 here", "hot") for i in range(12)]
+    rows += [(50 + i, "own Yy82Jp74Kl16Wo34 value", f"o{i}") for i in range(5)]  # copies of one text
+    rows += [(70, "host mail7.example.com", "a"), (71, "see mail7.example.com", "b"), (72, "at mail7.example.com", "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    added = {r.doc_id: [s.kind for s in r.spans] for r in scan_secrets(docs).collect()}
+    assert all(added[i] == [] for i in range(12)) and added[70] == added[71] == added[72] == []
+    assert all(added[50 + i] == [KINDS.index("owned")] for i in range(5))
+
+
 def test_secrets_of_nothing(no_docs):
+    assert redact_secrets(no_docs).count() == 0
     assert scan_secrets(no_docs).count() == 0
 
 
@@ -244,6 +264,16 @@ def test_top_k_equals_brute_force(spark):
     assert dict(got.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"}
 
 
+def test_top_k_of_messy_rows(spark):
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (0, [3.0, 0.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [5.0] * 3), (50, [1.0] * 3)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    frame = frame.selectExpr("*", *(f"7 AS {name}" for name in ("vector", "shard", "block", "query_id", "rank", "score", "least")))
+    got = sorted(tuple(r) for r in top_k(frame, k=3, scale=1).collect())
+    # The smallest vector of an id asks; repeated candidates count each; widths do not meet.
+    assert got == [(0, 1, 1, 3), (0, 2, 1, 3), (50, 1, 2, 15)]
+    assert top_k(frame.limit(0)).count() == 0
+
+
 def test_top_k_with_few_rows(spark):
     frame = spark.createDataFrame([(0, [1.5, -0.5]), (7, [2.0, 2.0])], "vec_id bigint, embedding array<float>")
     assert [tuple(r) for r in top_k(frame, scale=2).collect()] == [(0, 1, 7, 8)]

@@ -146,27 +146,34 @@ def expand_patterns(index: SearchIndex, patterns: DataFrame) -> DataFrame:
     compared with the whole dictionary, and no gram is cut for them.
     """
     wanted = patterns.select("value", clean_pattern(F.col("value")).alias("pattern"))
-    wanted = settle(wanted.filter(F.col("pattern").isNotNull()), "wanted-patterns")
-    size = measured(wanted)
+    wanted = wanted.filter(F.col("pattern").isNotNull())
+    has_letter = F.col("pattern").rlike("[a-z]")
+    facts = wanted.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("n_bytes"),
+        F.count_if(~has_letter).alias("n_wild"),
+    ).first()
+    size = Size(facts["n"], 2 * facts["n_bytes"])
     literal = ~F.col("pattern").rlike("[%_]")
     fits = F.when(literal, F.contains("term", "pattern")).otherwise(
         F.expr("term LIKE concat('%', pattern, '%')")
     )
-    has_letter = F.col("pattern").rlike("[a-z]")
     grams = index.stored.grams if index.stored else settle(term_grams(index.terms), "grams")
     counts = index.stored.gram_counts if index.stored else grams.select("gram", F.lit(1).alias("n"))
     counts = counts.groupBy("gram").agg(F.sum("n").alias("n"))
-    probes = settle(_with_rarest(wanted.filter(has_letter), counts), "probes")
+    probes = _with_rarest(wanted.filter(has_letter), counts)
+    # A single letter asks for at most 27 * 26 + 1 grams, everything else for fewer.
+    most = size.times(27 * 27)
     # Several grams of one list may lead to a term, and several batches may hold it.
-    found = grams.join(broadcast_if(probes, measured(probes)), "gram").filter(fits).select("value", "term").distinct()
+    found = grams.join(broadcast_if(probes, most), "gram").filter(fits).select("value", "term").distinct()
     if index.stored and index.stored.replaced is not None:
         found = settle(found, "found")
         words = found.select("term").distinct()
         known = known_terms(index, broadcast_if(words, measured(words))).select("term")
         found = found.join(known, "term", "left_semi")
-
-    wild = wanted.filter(~has_letter)
-    return found if wild.isEmpty() else found.unionByName(_of_length(index, wild, size))
+    if not facts["n_wild"]:
+        return found
+    return found.unionByName(_of_length(index, wanted.filter(~has_letter), size))
 
 
 def _of_length(index: SearchIndex, wild: DataFrame, size: Size) -> DataFrame:

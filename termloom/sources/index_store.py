@@ -9,7 +9,7 @@ Layout under the root folder, every table with ``batch=<n>`` first::
     pairs/bits=<b>/bucket=<k>      postings of neighbouring frequent terms
     pair_counts                    documents of each such pair
     grams, gram_counts             letter grams of the dictionary, and how many terms have each
-    frequent                       terms whose neighbours are stored as pairs
+    frequent                       terms whose neighbours are stored as pairs, of a base only
     replaced                       ids of documents of earlier batches that are gone
     batches                        one row for a batch that is complete, written last
 
@@ -253,7 +253,6 @@ def save_index(
         of_document = written("postings").filter(F.col("term").isin(words)).groupBy("doc_id")
         parsed = of_document.agg(F.collect_list(F.struct("term", "positions")).alias("entries"))
     _write_pairs(parsed, words, root, batch, tokens)
-    _write(spark.createDataFrame([], SCHEMAS["replaced"]), root, "replaced", batch)
     next_doc_id = max(next_doc_id, previous.next_doc_id if previous else 0)
     return _finish(spark, root, batch, batch, tokens, next_doc_id, stream, batch_id)
 
@@ -278,14 +277,14 @@ def add_batch(
     _write(document_entries(parsed), root, "entries", number)
     tokens, last_id = parsed.agg(F.coalesce(F.sum("total_terms"), F.lit(0)), F.max("doc_id")).first()
     _write_buckets(posting_rows(parsed), root, "postings", number, tokens)
-    _write_pairs(parsed, index.stored.frequent, root, number, tokens)
+    if index.stored.frequent:
+        _write_pairs(parsed, index.stored.frequent, root, number, tokens)
     added = document_entries(parsed).select(F.inline("entries"))
     removed = entries_of(index, replaced).select(F.inline("entries"))
     deltas = term_deltas(added, 1).unionByName(term_deltas(removed, -1))
     summed = deltas.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
     # A term may gain one document and lose another; its grams are needed all the same.
     _write_words(summed.filter("df <> 0 OR cf <> 0"), root, number)
-    _write(spark.createDataFrame([], SCHEMAS["frequent"]), root, "frequent", number)
     next_doc_id = version.next_doc_id if last_id is None else last_id + 1
     return _finish(spark, root, number, version.base, tokens, next_doc_id, stream, batch_id)
 

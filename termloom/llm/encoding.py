@@ -59,10 +59,10 @@ def load_tokenizer(path: str):
 class Encoder:
     """Ids of whole texts, equal to ``encode(text, add_special_tokens=False)``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_chunks: int = MEMO_CHUNKS):
         self.tokenizer = load_tokenizer(path)
         self.model = self.tokenizer.model
-        self.memo = Memo(self.encode_chunk)
+        self.memo = Memo(self.encode_chunk, memo_chunks)
         self.bytes_of = _byte_characters()
 
     def encode(self, text: str) -> bytes:
@@ -86,9 +86,9 @@ class WordEncoder(Encoder):
     library's whole way.
     """
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.pieces = Memo(self.encode_piece)
+    def __init__(self, path: str, memo_chunks: int = MEMO_CHUNKS):
+        super().__init__(path, memo_chunks)
+        self.pieces = Memo(self.encode_piece, memo_chunks)
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -151,9 +151,9 @@ def _byte_characters() -> dict[int, str]:
 
 
 @lru_cache(maxsize=4)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, memo_chunks: int = MEMO_CHUNKS) -> WordEncoder:
     """The worker's encoder for ``path``, kept between tasks."""
-    return WordEncoder(path)
+    return WordEncoder(path, memo_chunks)
 
 
 @lru_cache(maxsize=4)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.support import rows_map, texts_of
+from termloom.llm.support import release_encoders, rows_map, texts_of
 
 UNDETERMINED = "und"
 FEATURES = 2048
@@ -182,7 +182,11 @@ class LanguageModel:
 
     def known(self, text: str, language: str) -> float:
         """Share of a text's letters that the learned rows of a language hold."""
-        letters = {c: n for c, n in Counter(text.lower()).items() if c.isalpha()}
+        lowered = text.lower()
+        strange = {c for c in set(lowered) - self.alphabets[language] if c.isalpha()}
+        if not strange:
+            return 1.0
+        letters = {c: n for c, n in Counter(lowered).items() if c.isalpha()}
         own = sum(n for c, n in letters.items() if c in self.alphabets[language])
         return own / max(1, sum(letters.values()))
 
@@ -233,6 +237,7 @@ def learn_languages(
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("row", pa.list_(pa.float32())), ("letters", pa.string())])
 
     def make(rows: Iterator[tuple]) -> Iterator[tuple]:
+        release_encoders()
         for doc_id, lang, text in rows:
             row = features(text)
             if row is not None:
@@ -287,6 +292,7 @@ def keep_determined(
         return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for batch in batches:
             keep = []
             for text in batch.column(batch.schema.get_field_index(text_column)).to_pylist():

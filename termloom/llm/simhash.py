@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.llm.support import arrow_map, lookup, rows_map, texts_of, unused
+from termloom.llm.support import arrow_map, lookup, release_encoders, rows_map, texts_of, unused
 from termloom.session import settle
 
 MAX_BITS = 2
@@ -67,6 +67,7 @@ def fingerprints(
     schema = pa.schema([("doc_id", pa.int64()), ("version", pa.int64()), ("fingerprint", pa.int64())])
 
     def make(rows: Iterator[tuple]) -> Iterator[tuple]:
+        release_encoders()
         for doc_id, version, text in rows:
             value = simhash(text or "", shingle_words)
             yield doc_id, version, value - (1 << 64) if value >> 63 else value

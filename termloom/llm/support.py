@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -41,6 +42,18 @@ def arrow_map(
     return df.mapInArrow(run, from_arrow_schema(schema))
 
 
+def release_encoders() -> None:
+    """Free the encoders that earlier tasks of this worker kept for themselves.
+
+    They and their remembered chunks take some hundred megabytes, which a worker that turns to
+    other work would hold for nothing.
+    """
+    encoding = sys.modules.get("termloom.llm.encoding")
+    if encoding:
+        encoding.word_encoder.cache_clear()
+        encoding.byte_encoder.cache_clear()
+
+
 class RowBuffer:
     """Gathers rows and hands them out as columns, some thousands or some megabytes at a time."""
 

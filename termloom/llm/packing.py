@@ -30,6 +30,9 @@ from termloom.session import settle
 
 CAPACITY = 4096
 
+# Chunks that a packing task remembers by default.
+MEMO_CHUNKS = 600_000
+
 _PIECES = pa.schema(
     [
         ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -45,10 +48,6 @@ _PACKED = pa.schema(
     ]
 )
 
-# Chunks that a packing task remembers: fewer than other tasks do, which saves a worker some
-# hundred megabytes where packing is one stage of several.
-MEMO_CHUNKS = 120_000
-
 
 def pack_documents(
     docs: DataFrame,
@@ -57,16 +56,18 @@ def pack_documents(
     end_id: int = 1,
     id_column: str = "doc_id",
     text_column: str = "text",
+    memo_chunks: int = MEMO_CHUNKS,
 ) -> DataFrame:
     """Place every document in sequences of at most ``capacity`` tokens.
 
     ``tokenizer`` is the path of a vocabulary with word ends.  A null or empty text is its end
-    id alone.  Documents longer than ``capacity`` are cut; the last piece may be shorter.
+    id alone.  A worker remembers the ids of ``memo_chunks`` chunks of text; fewer take less memory
+    and more time.  Documents longer than ``capacity`` are cut; the last piece may be shorter.
     Repeated rows are packed as often as they occur; an empty table gives no rows.
 
     Returns per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
     """
-    pieces = settle(_pieces(texts_of(docs, id_column, text_column), tokenizer, capacity, end_id), "pieces")
+    pieces = settle(_pieces(texts_of(docs, id_column, text_column), tokenizer, capacity, end_id, memo_chunks), "pieces")
     tallies = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     # At most one row per length reaches the driver.
     counts = {row["length"]: row["n"] for row in tallies.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -78,11 +79,11 @@ def pack_documents(
     return _assign(numbered, plan_sequences(counts, capacity))
 
 
-def _pieces(texts: DataFrame, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
+def _pieces(texts: DataFrame, tokenizer: str, capacity: int, end_id: int, memo_chunks: int) -> DataFrame:
     end = id_bytes([end_id])
 
     def make(rows: Iterator[tuple]) -> Iterator[tuple]:
-        encoder = word_encoder(tokenizer, MEMO_CHUNKS)
+        encoder = word_encoder(tokenizer, memo_chunks)
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = {}  # pieces so far by length
         for doc_id, text in rows:

@@ -1,4 +1,4 @@
-"""Results are sorted by columns that are at hand, and the searches of a log take every 50th conversation."""
+"""Results are sorted by columns that are at hand, and the searches of a log take every conversation."""
 
 import duckdb
 
@@ -30,7 +30,7 @@ def test_sort_evaluates_no_expression(spark, monkeypatch):
     assert sorted(tuple(r) for r in best.select("query_id", "rank", "doc_id").collect()) == [w for w in want if w[1] < 4]
 
 
-def test_mixed_log_search_takes_every_fiftieth_conversation(spark, tmp_path):
+def test_mixed_log_search_takes_every_conversation(spark, tmp_path):
     texts = ["pan vino", "vino agua", "pan y agua", "pan", "queso", None]
     documents = [(i, texts[i % 6]) for i in range(12)]
     turns = [(c, t, "user", texts[(c + t) % 3]) for c in range(151) for t in range(6)] + [(None, 1, "user", "pan")]
@@ -38,9 +38,11 @@ def test_mixed_log_search_takes_every_fiftieth_conversation(spark, tmp_path):
     schema = "conv_id bigint, turn bigint, role string, text string"
     spark.createDataFrame(turns, schema).write.parquet(f"{tmp_path}/conversations.parquet")
     got = sorted(tuple(r) for r in entry.queries()["mixed_log_search"](spark, str(tmp_path)).select("query_id", "doc_id").collect())
-    asked = {(c + t) * (c + t + 1) // 2 + t for c in (0, 50, 100, 150) for t in range(6)}
-    assert {query for query, _ in got} <= asked
-    assert len({query % 6 for query, _ in got}) > 1
+    asked = {(c + t) * (c + t + 1) // 2 + t for c in range(151) for t in range(6)}
+    answered = {query for query, _ in got}
+    # Phrases and patterns of these turns are in some document each; negations are as they fall.
+    assert {query for query in asked if query % 6 in (1, 2)} <= answered <= asked
+    assert {query % 6 for query in answered} == {0, 1, 2}
     duck = duckdb.connect()
     for name in ("documents", "conversations"):
         duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")

@@ -8,6 +8,7 @@ import pytest
 from termloom import parse_query_log, ranked_search, session
 from termloom.operators import matching
 from termloom.operators.matching import match_phrases
+from termloom.operators.ranking import rank_runs, sorted_runs
 from termloom.plans.search import search
 from termloom.session import settle
 from termloom.sources.index_store import index_corpus
@@ -86,3 +87,23 @@ def test_many_candidates_move_each_place_once(spark, index, texts, monkeypatch):
     pairs = [(a, b) for a in WORDS[:4] for b in WORDS[:4]]
     assert got == {(n, i) for n, (a, b) in enumerate(pairs) for i, text in texts.items() if f" {a} {b} " in f" {text} "}
     assert len(dealt) == 1
+
+
+def test_only_keys_are_sorted_and_sizes_broadcast(spark):
+    rows = [(q, d, (d * 7 % 5) / 3, d * 0.5) for q in (1, 2) for d in range(40)]
+    scored = spark.createDataFrame(rows, "query_id bigint, doc_id bigint, score double, dot double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        runs = sorted_runs(scored, ["query_id", "doc_id"])
+        ranked = rank_runs(runs)
+        text = _plan(ranked)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert runs.columns == ["query_id", "doc_id", "run", "place"]
+    assert "SortMergeJoin" not in text
+    want = []
+    for q in (1, 2):
+        own = sorted((r for r in rows if r[0] == q), key=lambda r: (-round(r[2], 10), r[1]))
+        want += [(q, r[1], place) for place, r in enumerate(own, 1)]
+    assert sorted(tuple(r) for r in ranked.select("query_id", "doc_id", "rank").collect()) == sorted(want)
